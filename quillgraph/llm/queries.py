@@ -1,6 +1,18 @@
 """The registered corpus queries and their SQL."""
 
+from quillgraph.llm.bpe import op4_bpe
+from quillgraph.llm.kdtree import op6_sharding
+from quillgraph.llm.langid import op3_langid
+from quillgraph.llm.packing import op7_packing
 from quillgraph.llm.simhash import op10_simhash
+from quillgraph.llm.substring import op1_substring
 
-QUERIES = {"op10_simhash": op10_simhash}
+QUERIES = {
+    "op1_substring": op1_substring,
+    "op3_langid": op3_langid,
+    "op4_bpe": op4_bpe,
+    "op6_sharding": op6_sharding,
+    "op7_packing": op7_packing,
+    "op10_simhash": op10_simhash,
+}
 ORACLES: dict[str, str] = {}
