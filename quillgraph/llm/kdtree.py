@@ -41,9 +41,9 @@ def _histogram(units: DataFrame, low: list[float], width: list[float], at: str,
     return out
 
 
-def _cut_points(units: DataFrame, low: list[float], high: list[float], at: str, want: list[float], within: Column) -> tuple[list[float], list[float], list[float]]:
-    """By node: the bounds of the last bar, which holds the median, and the bytes still wanted from it."""
-    low, want = list(low), list(want)
+def _cut_points(units: DataFrame, low: list[float], high: list[float], at: str, want: list[float], within: Column) -> tuple[list[float], list[float], list[float], list[float]]:
+    """By node: the bounds of the last bar, which holds the median, the bytes still wanted from it, and its bytes."""
+    low, want, left = list(low), list(want), [0.0] * len(low)
     width = [max((h - x) / BARS, math.ulp(max(abs(h), abs(x), 1.0))) for x, h in zip(low, high)]
     ends = list(high)
     for step in range(REFINE):
@@ -55,10 +55,11 @@ def _cut_points(units: DataFrame, low: list[float], high: list[float], at: str,
                 if want[k] < bars[b] or b == max(bars):
                     break
                 want[k] -= bars[b]
+            left[k] = bars[b]
             ends[k] = low[k] + width[k] * (b + 1) if b < BARS - 1 else ends[k]
             low[k] += width[k] * b
             width[k] = max((ends[k] - low[k]) / BARS, math.ulp(max(abs(ends[k]), abs(low[k]), 1.0)))
-    return low, ends, want
+    return low, ends, want, left
 
 
 def _split(units: DataFrame, nodes: int) -> DataFrame:
@@ -72,9 +73,10 @@ def _split(units: DataFrame, nodes: int) -> DataFrame:
     want = [by[k]["bytes"] / 2 if k in by else 0.0 for k in range(nodes)]
     chosen = F.element_at(F.array(*DIMENSIONS), _pick(F.col("node"), [DIMENSIONS.index(w) + 1 for w in widest]))
     units = units.withColumn("at", chosen)
-    low, ends, want = _cut_points(units, low, high, "at", want, F.lit(True))
+    low, ends, want, _ = _cut_points(units, low, high, "at", want, F.lit(True))
     tied = (F.col("at") >= _pick(F.col("node"), low)) & (F.col("at") < _pick(F.col("node"), ends))
-    cut, _, _ = _cut_points(units, [0.0] * nodes, [1.0] * nodes, "tie", want, tied)
+    cut, after, want, left = _cut_points(units, [0.0] * nodes, [1.0] * nodes, "tie", want, tied)
+    cut = [b if want[k] > left[k] / 2 else a for k, (a, b) in enumerate(zip(cut, after))]  # the unit at the median goes to the nearer side
     right = (F.col("at") >= _pick(F.col("node"), ends)) | (tied & (F.col("tie") >= _pick(F.col("node"), cut)))
     return units.withColumn("node", F.col("node") * 2 + F.when(right, 1).otherwise(0)).drop("at")
 
