@@ -3,12 +3,14 @@
 from quillgraph.llm.bpe import op4_bpe
 from quillgraph.llm.kdtree import op6_sharding
 from quillgraph.llm.langid import op3_langid
+from quillgraph.llm.minhash import op2_minhash
 from quillgraph.llm.packing import op7_packing
 from quillgraph.llm.simhash import op10_simhash
 from quillgraph.llm.substring import op1_substring
 
 QUERIES = {
     "op1_substring": op1_substring,
+    "op2_minhash": op2_minhash,
     "op3_langid": op3_langid,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
