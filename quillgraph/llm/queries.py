@@ -4,6 +4,7 @@ from quillgraph.llm.bpe import op4_bpe
 from quillgraph.llm.kdtree import op6_sharding
 from quillgraph.llm.langid import op3_langid
 from quillgraph.llm.minhash import op2_minhash
+from quillgraph.llm.multi_index import op5_multi_index
 from quillgraph.llm.packing import op7_packing
 from quillgraph.llm.simhash import op10_simhash
 from quillgraph.llm.substring import op1_substring
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_langid": op3_langid,
     "op4_bpe": op4_bpe,
+    "op5_multi_index": op5_multi_index,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
