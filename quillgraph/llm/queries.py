@@ -4,6 +4,7 @@ from quillgraph.llm.bpe import op4_bpe
 from quillgraph.llm.kdtree import op6_sharding
 from quillgraph.llm.langid import op3_langid
 from quillgraph.llm.lbl import op8_lbl
+from quillgraph.llm.licenses import op9_licenses
 from quillgraph.llm.minhash import op2_minhash
 from quillgraph.llm.multi_index import op5_multi_index
 from quillgraph.llm.packing import op7_packing
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_lbl": op8_lbl,
+    "op9_licenses": op9_licenses,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}

@@ -133,7 +133,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "bits": [np.packbits(x).tobytes() for x in np.split(flag, cuts)]})
 
 
-def _cut(docs: pd.DataFrame, bits: pd.DataFrame, window: int, buckets: int, names: list[str]) -> pd.DataFrame:
+def _cut(docs: pd.DataFrame, bits: pd.DataFrame, window: int, buckets: int, names: list[str], untouched: bool) -> pd.DataFrame:
     if not len(docs):
         return pd.DataFrame(columns=names)
     c = _chunk(docs, window, buckets)
@@ -150,13 +150,13 @@ def _cut(docs: pd.DataFrame, bits: pd.DataFrame, window: int, buckets: int, name
     gone = np.cumsum(edge[:-1]) > 0
     kept, removed, begins, ends = [], [], [], []
     at = 0
-    for w, end in zip(c.words, c.ends.tolist()):
+    for text, w, end in zip(docs["_text"].tolist(), c.words, c.ends.tolist()):
         g = gone[at:end]
         n = int(g.sum())
         at = end
         removed.append(n)
         if not n:
-            kept.append(b" ".join(w).decode("utf-8", "surrogatepass"))
+            kept.append((text or "") if untouched else b" ".join(w).decode("utf-8", "surrogatepass"))
             begins.append([])
             ends.append([])
             continue
@@ -168,12 +168,13 @@ def _cut(docs: pd.DataFrame, bits: pd.DataFrame, window: int, buckets: int, name
     return out[names]
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, carry: dict[str, str] | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, carry: dict[str, str] | None = None, untouched: bool = False) -> DataFrame:
     """Remove each word that lies in a window whose word sequence also starts in a document with a smaller id.
 
     Words are runs without ASCII white space. Windows are judged on the input, not on what is left. Returns one row
     for each input row: ``doc_id``, ``n_words``, ``n_removed``, ``starts`` and ``ends`` (the maximal removed
-    intervals, in words, half open) and ``kept_text`` (the kept words joined by one space); ``carry`` names further
+    intervals, in words, half open) and ``kept_text`` (the kept words joined by one space; with ``untouched`` a text that
+    loses nothing stays as it is, white space included); ``carry`` names further
     outputs and the input columns they come from.
 
     Null and empty texts have no words and an empty kept text. A row with a null id keeps all its words and removes
@@ -192,7 +193,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kinds = dict(base.dtypes)
     schema = {"_id": "long", "n_words": "long", "n_removed": "long", "starts": "array<int>", "ends": "array<int>", "kept_text": "string"}
     schema |= {f"_c{i}": kinds[f"_c{i}"] for i in range(len(carry))}
-    cut = partial(_cut, window=window, buckets=buckets, names=list(schema))
+    cut = partial(_cut, window=window, buckets=buckets, names=list(schema), untouched=untouched)
     out = base.groupBy("_chunk").cogroup(bits.groupBy("chunk")).applyInPandas(cut, ", ".join(f"{k} {v}" for k, v in schema.items()))
     return out.withColumnsRenamed({"_id": "doc_id"} | {f"_c{i}": c for i, c in enumerate(carry)})
 
