@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 PAGE_START, PAGE_END, RARE_FONT, COORDINATE = "\\@ps\\", "\\@pe\\", "\\r\\", "@d"
 START, END = -1, -2
 
-_doc = W.partitionBy("doc_id").orderBy("line_no")
+
+def _doc():
+    """A document's lines in order; made on use, as workers import this module without a session."""
+    return W.partitionBy("doc_id").orderBy("line_no")
 
 
 def read_lines(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -31,14 +34,14 @@ def read_lines(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def page_numbers(lines: DataFrame) -> DataFrame:
     """``page_no``: how many pages have begun."""
-    return lines.withColumn("page_no", F.sum(F.when(F.col("indent") == START, 1).otherwise(0)).over(_doc).cast("int"))
+    return lines.withColumn("page_no", F.sum(F.when(F.col("indent") == START, 1).otherwise(0)).over(_doc()).cast("int"))
 
 
 def page_edges(lines: DataFrame) -> DataFrame:
     """``is_first`` and ``is_last``: right after a page's start, right before its end."""
     return lines.withColumns({
-        "is_first": F.coalesce(F.lag("indent").over(_doc) == START, F.lit(False)),
-        "is_last": F.coalesce(F.lead("indent").over(_doc) == END, F.lit(False)),
+        "is_first": F.coalesce(F.lag("indent").over(_doc()) == START, F.lit(False)),
+        "is_last": F.coalesce(F.lead("indent").over(_doc()) == END, F.lit(False)),
     })
 
 
@@ -54,7 +57,7 @@ def without_marks(lines: DataFrame) -> DataFrame:
 def drop_number_lines(lines: DataFrame) -> DataFrame:
     """Drop every page's first line if all of them but the first page's are digits only, else the last lines likewise."""
     rows = page_edges(lines)
-    nth = lambda c: F.sum(F.col(c).cast("int")).over(_doc)
+    nth = lambda c: F.sum(F.col(c).cast("int")).over(_doc())
     rows = rows.withColumns({"_f": nth("is_first"), "_l": nth("is_last")})
     digits = lambda c, n: F.coalesce(F.bool_and(F.when(F.col(c) & (F.col(n) > 1), F.col("str").rlike(r"^\d*$"))).over(W.partitionBy("doc_id")), F.lit(True))
     rows = rows.withColumns({"_first": digits("is_first", "_f"), "_last": digits("is_last", "_l")})
@@ -85,4 +88,4 @@ def commonest_width(widths: DataFrame, by: str, width: str) -> DataFrame:
 
 def running_width(lines: DataFrame) -> DataFrame:
     """The widest line so far."""
-    return lines.withColumn("widest", F.max(F.col("last_pos") - F.col("indent")).over(_doc))
+    return lines.withColumn("widest", F.max(F.col("last_pos") - F.col("indent")).over(_doc()))

@@ -56,7 +56,7 @@ def at_positions(ids: DataFrame, found: DataFrame) -> DataFrame:
 
 def over_limit(log: DataFrame, by: str, seconds: float, most: int) -> DataFrame:
     """Requests of a log that came when ``most`` others lay within the last ``seconds``."""
-    w = W.partitionBy(by).orderBy(F.col("ts").cast("double")).rangeBetween(-seconds, 0)
+    w = W.partitionBy(by).orderBy(F.col("ts").cast("timestamp").cast("double")).rangeBetween(-seconds, 0)
     return log.withColumn("recent", F.count("*").over(w)).where(F.col("recent") > most)
 
 
