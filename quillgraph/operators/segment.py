@@ -390,13 +390,14 @@ def segment(lines: DataFrame, layouts: DataFrame | None = None, page_width: int
 
     ``lines`` as from read_lines(); ``layouts`` has ``doc_id``, ``two_columns`` and ``page_width`` where they are known.
     """
-    if layouts is not None:
+    given = layouts is not None
+    if given:
         lines = lines.join(layouts.select("doc_id", "two_columns", "page_width"), "doc_id", "left")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("line_no")
         rows = [Line(*r) for r in pdf[["indent", "last_pos", "str", "page_no"]].itertuples(index=False)]
-        known = layouts is not None and pd.notna(pdf["two_columns"].iloc[0])
+        known = given and pd.notna(pdf["two_columns"].iloc[0])
         two, width = (bool(pdf["two_columns"].iloc[0]), int(pdf["page_width"].iloc[0])) if known else (False, page_width)
         found = extract(rows, two, width, int(pdf["page_no"].max()))
         return pd.DataFrame({"doc_id": [str(pdf["doc_id"].iloc[0])] * len(found), "pos": range(len(found)), "reference": found})
