@@ -23,7 +23,9 @@ from pyspark.sql.types import BinaryType, StringType
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words, with the white space before them, whose ids a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 800_000
+#: Pairs of the compatibility table that a worker keeps.
+MOST_PAIRS = 400_000
 #: These count as white space for re but not for the pattern above.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 UNIT = re.compile(r"\s*\S+|\s+")
@@ -49,11 +51,11 @@ class Bpe:
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(PATTERN)
         # The rank at which a pair merges, and of each token its two halves.
-        self.rank: dict[tuple[int, int], int] = {}
+        self.rank: dict[int, int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         for r, (a, b) in enumerate(merges):
             pair = vocab[a], vocab[b]
-            self.rank[pair] = r
+            self.rank[pair[0] << 32 | pair[1]] = r
             self.halves.setdefault(vocab[a + b], pair)
         self.length = {i: len(t) for t, i in vocab.items()}
         usable = {t: i for t, i in vocab.items() if len(t) == 1 or i in self.halves}
@@ -65,7 +67,7 @@ class Bpe:
             self.automaton.add_word(t, (len(t), i))
         self.automaton.make_automaton()
         self.spines: tuple[dict, dict] = ({}, {})
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.pack = {i: np.uint32(i).tobytes() for i in [*vocab.values(), *self.special.values()]}
         # The decoder's table: all tokens' bytes, and where each begins.
@@ -78,42 +80,57 @@ class Bpe:
         self.bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.offset = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
 
-    def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
-        """The tokens that stand at the right (side 1) or left (0) end of a token while it is built, and when each is absorbed."""
+    def _spine(self, token: int, side: int) -> tuple[list[int], list[float]]:
+        """The tokens that stand at the right (side 1) or left (0) end of a token while it is built, from itself back to
+        a byte, and the rank at which each is absorbed."""
         found = self.spines[side].get(token)
         if found is None:
-            found, until, t = [], float("inf"), token
-            while True:
-                found.append((t, until))
-                if t not in self.halves:
-                    break
-                until, t = self.rank[self.halves[t]], self.halves[t][side]
-            self.spines[side][token] = found
+            tokens, gone = [token], [float("inf")]
+            while tokens[-1] in self.halves:
+                pair = self.halves[tokens[-1]]
+                gone.append(self.rank[pair[0] << 32 | pair[1]])
+                tokens.append(pair[side])
+            found = self.spines[side][token] = tokens, [*gone, -1]
         return found
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a and b can be neighbours: no merge across their border comes before both its parts are absorbed.
 
-        Equal merges apply from the left, so one across the border precedes an equal one on its right.
+        Walks back in time through the pairs that stood at the border together. Equal merges apply from the left, so
+        one across the border precedes an equal one on its right.
         """
-        found = self.pairs.get((a, b))
-        if found is None:
-            get = self.rank.get
-            found = True
-            for x, gone_x in self._spine(a, 1):
-                for y, gone_y in self._spine(b, 0):
-                    r = get((x, y))
-                    if r is not None and r < gone_x and r <= gone_y:
-                        found = False
-                        break
-                if not found:
-                    break
-            if len(self.pairs) < 2_000_000:
-                self.pairs[a, b] = found
+        key = a << 32 | b
+        found = self.pairs.get(key)
+        if found is not None:
+            return found
+        get = self.rank.get
+        xs, gone_x = self._spine(a, 1)
+        ys, gone_y = self._spine(b, 0)
+        i = j = 0
+        found = True
+        while i < len(xs) and j < len(ys):
+            r = get(xs[i] << 32 | ys[j])
+            if r is not None and r < gone_x[i] and r <= gone_y[j]:
+                found = False
+                break
+            if gone_x[i + 1] > gone_y[j + 1]:
+                i += 1
+            else:
+                j += 1
+        if len(self.pairs) < MOST_PAIRS:
+            self.pairs[key] = found
         return found
 
     def piece(self, text: str) -> list[int]:
         """The ids of one piece, given in the vocabulary's letters."""
+        greedy = [token for _, (_, token) in self.automaton.iter_long(text)]
+        last = greedy[0]
+        for token in greedy[1:]:
+            if not self.compatible(last, token):
+                break
+            last = token
+        else:
+            return greedy
         n = len(text)
         longest = [0] * n
         for end, (size, token) in self.automaton.iter(text):
