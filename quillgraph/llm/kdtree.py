@@ -20,6 +20,8 @@ BARS = 1024
 REFINE = 3
 #: A unit of equal texts stays whole up to this share of a shard's bytes.
 WHOLE = 1 / 16
+#: Parts by hash of a unit's rows, dealt among the shards if the unit is large.
+PARTS = 512
 #: Rows numbered in one task.
 SLOT_ROWS = 200_000
 DIMENSIONS = ("x0", "x1", "x2", "x3")
@@ -111,10 +113,13 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", tex
     key = ["text_crc32", "hash", "size"]
     groups = rows.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "t0", "t1")).alias("first"))
     groups = groups.withColumn("parts", F.ceil(F.col("n") * F.col("size") / F.lit(most)).cast("int"))
-    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts"))
-    # Only units that are dealt out need counts by part; the many that stay whole are known from the groups alone.
+    sub = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))
+    part = sub % F.col("parts")
+    # Only units that are dealt out need counts by part. They are summed by part of a hash before they meet their unit,
+    # so a unit with a third of all rows is a few hundred rows there.
     large = groups.where(F.col("parts") > 1).select(*key, "parts")
-    in_large = rows.join(large, key).withColumn("part", part).groupBy(*key, "part").agg(F.sum("size").alias("bytes"))
+    summed = rows.groupBy(*key, sub.alias("sub")).agg(F.sum("size").alias("bytes"))
+    in_large = summed.join(large, key).groupBy(*key, (F.col("sub") % F.col("parts")).alias("part")).agg(F.sum("bytes").alias("bytes"))
     small = groups.where(F.col("parts") <= 1).select(*key, F.lit(0).cast("long").alias("part"), (F.col("n") * F.col("size")).alias("bytes"), "first")
     first = groups.where(F.col("parts") > 1).select(*key, "first")
     units = small.unionByName(in_large.join(first, key).select(*key, "part", "bytes", "first"))
