@@ -29,18 +29,31 @@ BATCH = 4096
 RATE = 0.08
 #: Rows that the driver trains on before the executors train on everything.
 FIRST_ROWS = 1500
-CHUNK_BYTES = 16 << 20
-REMEMBER = 300_000
+CHUNK_BYTES = 12 << 20
+REMEMBER = 450_000
 #: Distinct words that a counting task holds before it passes them on.
 MOST_COUNTED = 400_000
 TASKS_MERGED = 64
 
 
+class SuffixClasses(dict):
+    """The class of a word's last letters."""
+
+    def __missing__(self, suffix: bytes) -> int:
+        c = self[suffix] = xxhash.xxh3_64_intdigest(suffix) % SUFFIXES
+        if len(self) > REMEMBER:
+            self.clear()
+        return c
+
+
+_suffixes = SuffixClasses()
+
+
 class WordKeys(dict):
     """A word's 64-bit key: a hash, with the class of its last letters in the lowest bits."""
 
     def __missing__(self, word: bytes) -> int:
-        h = (xxhash.xxh3_64_intdigest(word) & ~(SUFFIXES - 1)) | (xxhash.xxh3_64_intdigest(word[-SUFFIX_BYTES:]) % SUFFIXES)
+        h = (xxhash.xxh3_64_intdigest(word) & ~(SUFFIXES - 1)) | _suffixes[word[-SUFFIX_BYTES:]]
         if len(self) < REMEMBER:
             self[word] = h
         return h
@@ -63,7 +76,7 @@ class Vocabulary:
         self.size = self.end + 1
 
     def classes(self, keys: np.ndarray) -> np.ndarray:
-        out = (keys & np.uint64(SUFFIXES - 1)).astype(np.int64)
+        out = (keys & np.uint64(SUFFIXES - 1)).astype(np.int16)
         if len(self.top):
             at = np.minimum(np.searchsorted(self.top, keys), len(self.top) - 1)
             known = self.top[at] == keys
@@ -73,16 +86,16 @@ class Vocabulary:
     def sequence(self, texts_keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each token's class and the two before it; a text is led by two marks and closed by the end."""
         parts = []
-        lead, last = np.full(2, self.size), np.array([self.end])
+        lead, last = np.full(2, self.size, np.int16), np.array([self.end], np.int16)
         for k in texts_keys:
             parts += [lead, self.classes(k), last]
-        s = np.concatenate(parts) if parts else np.empty(0, np.int64)
+        s = np.concatenate(parts) if parts else np.empty(0, np.int16)
         at = np.flatnonzero(s != self.size)
         return s[at], s[at - 1], s[at - 2]
 
 
 def _add_rows(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
-    """total[index] += rows, with repeated indices."""
+    """total[index] += rows, with repeated indices; 16-bit indices sort by radix."""
     order = np.argsort(index, kind="stable")
     i = index[order]
     begin = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
@@ -106,22 +119,38 @@ class LogBilinear:
 
     def step(self, w: np.ndarray, a: np.ndarray, b: np.ndarray, rng: np.random.Generator) -> None:
         """One AdaGrad step: tell the tokens from noise drawn by frequency and shared by the batch."""
-        draws = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, len(self.q) - 1)
-        ra, rb = self.r[a], self.r[b]
-        ctx = ra @ self.c1 + rb @ self.c2
-        qw = self.q[w]
-        log_k = self.log_k
-        good = 1 / (1 + np.exp((ctx * qw).sum(1) + self.bias[w] - log_k[w])) / len(w)
-        bad = -1 / (1 + np.exp(-(ctx @ self.q[draws].T + self.bias[draws] - log_k[draws]))) / len(w)
-        d_ctx = good[:, None] * qw + bad @ self.q[draws]
-        grads = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        _add_rows(grads["q"], np.concatenate((w, draws)), np.concatenate((good[:, None] * ctx, bad.T @ ctx)))
-        grads["bias"] += (np.bincount(w, weights=good, minlength=len(self.q)) + np.bincount(draws, weights=bad.sum(0), minlength=len(self.q))).astype(np.float32)
+        draws = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, len(self.q) - 1).astype(np.int16)
+        n = np.float32(len(w))
+        ra, rb, qw, qd = self.r[a], self.r[b], self.q[w], self.q[draws]
+        ctx = ra @ self.c1
+        ctx += rb @ self.c2
+        offset = self.bias - self.log_k
+        good = np.einsum("ij,ij->i", ctx, qw)
+        good += offset[w]
+        np.exp(good, out=good)
+        good += 1
+        np.divide(1 / n, good, out=good)
+        bad = ctx @ qd.T
+        bad += offset[draws]
+        np.negative(bad, out=bad)
+        np.exp(bad, out=bad)
+        bad += 1
+        np.divide(-1 / n, bad, out=bad)
+        d_ctx = bad @ qd
+        qw *= good[:, None]
+        d_ctx += qw
+        grads = {k: np.zeros_like(getattr(self, k)) for k in ("r", "q", "bias")}
+        np.add.at(grads["q"], draws, bad.T @ ctx)
+        np.add.at(grads["bias"], draws, bad.sum(0))
+        grads["bias"] += np.bincount(w, weights=good, minlength=len(self.q)).astype(np.float32)
         grads["c1"], grads["c2"] = ra.T @ d_ctx, rb.T @ d_ctx
-        _add_rows(grads["r"], np.concatenate((a, b)), np.concatenate((d_ctx @ self.c1.T, d_ctx @ self.c2.T)))
-        for n, g in grads.items():
-            self.squares[n] += g * g * len(w)
-            getattr(self, n)[...] += RATE * g * np.sqrt(len(w)) / np.sqrt(self.squares[n])
+        ctx *= good[:, None]
+        _add_rows(grads["q"], w, ctx)
+        _add_rows(grads["r"], a, d_ctx @ self.c1.T)
+        _add_rows(grads["r"], b, d_ctx @ self.c2.T)
+        for k, g in grads.items():
+            self.squares[k] += g * g * n
+            getattr(self, k)[...] += RATE * g * np.sqrt(n) / np.sqrt(self.squares[k])
 
     def train(self, w: np.ndarray, a: np.ndarray, b: np.ndarray, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
