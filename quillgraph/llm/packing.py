@@ -54,14 +54,13 @@ class WordIds:
         if ODD_SPACE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
         words, known = text.split(), self.words
-        missing = set(words).difference(known)
-        if not missing:
-            return b"".join([known[w] for w in words])
-        more = self._look_up(list(missing))
-        if len(known) < REMEMBER:
-            known.update(more)
-            return b"".join([known[w] for w in words])
-        return b"".join([known[w] if w in known else more[w] for w in words])
+        ids = list(map(known.get, words))
+        if None in ids:
+            more = self._look_up(list({w for w, i in zip(words, ids) if i is None}))
+            ids = [more[w] if i is None else i for w, i in zip(words, ids)]
+            if len(known) < REMEMBER:
+                known.update(more)
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
