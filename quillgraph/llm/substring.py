@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from quillgraph.llm.common import pieces
 
 #: Text bytes of a chunk, and window hashes of a bucket; both bound what one task holds.
-CHUNK_BYTES = 8 << 20
-BUCKET_WINDOWS = 3_000_000
+CHUNK_BYTES = 4 << 20
+BUCKET_WINDOWS = 2_000_000
 #: Odd bases of the two rolling hashes modulo 2**64, and their inverses.
 BASE = 0x9E3779B97F4A7C15
 BASE2 = 0xD1342543DE82EF95
