@@ -12,6 +12,21 @@ from pyspark.sql import functions as F
 FALLBACK_DIR = "file:///tmp/checkpoints/quillgraph"
 
 
+_held: dict = {}
+
+
+def held(name, make):
+    """What a Python worker remembers for one operator, made on first use.
+
+    Workers live on from stage to stage; another operator's tables go when this one's are made, so that the tables of a
+    chain of operators don't add up.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; tables that cut lineage are written there."""
     root = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR

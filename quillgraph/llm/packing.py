@@ -5,13 +5,15 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgraph.llm.common import held
+
 SEQUENCE = 4096
 #: Documents of a group; more leave less padding, fewer are quicker.
 GROUP_ROWS = 4096
@@ -19,6 +21,9 @@ GROUP_ROWS = 4096
 END = 2
 #: Words whose ids a worker remembers.
 REMEMBER = 1_000_000
+HOT = 20_000
+#: Texts whose unknown words are looked up together.
+TOGETHER = 128
 #: Python counts these as white space, the tokenizer's patterns don't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -34,38 +39,61 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.mark_id, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if "<" in t.content)
+        self.hot: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _look_up(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words, many to a call: a special token between them, which the tokenizer cuts out first, parts the ids."""
         plain = [w for w in words if "<" not in w]
         found = {w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32).tobytes() for w in words if "<" in w}
-        for at in range(0, len(plain), 256):
-            some = plain[at : at + 256]
-            ids = np.array(self.tokenizer.encode(self.mark.join(some), add_special_tokens=False).ids, np.uint32)
+        parts = [plain[at : at + 256] for at in range(0, len(plain), 256)]
+        for some, e in zip(parts, self.tokenizer.encode_batch_fast([self.mark.join(x) for x in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
             blob, cuts = ids.tobytes(), np.flatnonzero(ids == self.mark_id) * 4
             begin = [0, *(cuts + 4).tolist()]
             found.update({w: blob[a:b] for w, a, b in zip(some, begin, [*cuts.tolist(), len(blob)])})
         return found
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of several texts, whose unknown words are looked up together.
+
+        The words met first are in a small table of their own: most words of a text are, and it stays in the cache.
+        """
+        hot, rest = self.hot.get, self.words.get
+        out: list = [None] * len(texts)
+        unknown: set[str] = set()
+        waiting = []
+        for i, text in enumerate(texts):
+            if not text:
+                out[i] = b""
+                continue
+            if ODD_SPACE.search(text):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+                continue
+            words = text.split()
+            ids = [rest(w) if x is None else x for w, x in zip(words, map(hot, words))]
+            if None in ids:
+                unknown.update([w for w, x in zip(words, ids) if x is None])
+                waiting.append((i, words, ids))
+            else:
+                out[i] = b"".join(ids)
+        if waiting:
+            new = self._look_up(list(unknown))
+            for i, words, ids in waiting:
+                out[i] = b"".join([new[w] if x is None else x for w, x in zip(words, ids)])
+            if len(self.hot) < HOT:
+                self.hot.update(new)
+            elif len(self.words) < REMEMBER:
+                self.words.update(new)
+        return out
+
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if ODD_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        words, known = text.split(), self.words
-        ids = list(map(known.get, words))
-        if None in ids:
-            more = self._look_up(list({w for w, i in zip(words, ids) if i is None}))
-            ids = [more[w] if i is None else i for w, i in zip(words, ids)]
-            if len(known) < REMEMBER:
-                known.update(more)
-        return b"".join(ids)
-
-
-@lru_cache(maxsize=2)
+        return self.encode_all([text])[0]
+
+
 def load(path: str) -> WordIds:
-    return WordIds(path)
+    """One instance for each worker and file."""
+    return held(("packing", path), lambda: WordIds(path))
 
 
 class Bins:
@@ -105,8 +133,10 @@ def _cut(batches, path: str, size: int, keep_ids: bool):
     """Pieces of each document: whole sequences, then the rest."""
     for p in batches:
         rows = []
-        for doc, text in zip(p["doc_id"].astype(object).where(p["doc_id"].notna(), None), p["text"]):
-            ids = load(path).encode(text) + np.uint32(END).tobytes()
+        texts = p["text"].tolist()
+        encoded = (x for at in range(0, len(texts), TOGETHER) for x in load(path).encode_all(texts[at : at + TOGETHER]))
+        for doc, ids in zip(p["doc_id"].astype(object).where(p["doc_id"].notna(), None), encoded):
+            ids += np.uint32(END).tobytes()
             n = len(ids) // 4
             for at in range(0, n, size):
                 piece = ids[4 * at : 4 * (at + size)]
