@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +28,7 @@ class Line:
     last: int
     text: str
     page: int
+    number: int = -1
 
     @property
     def width(self) -> int:
@@ -320,7 +321,7 @@ def header_runs(texts: list[str]):
 
 def without_headers(lines: list[Line]) -> list[Line]:
     """Blank running headers among all, even and odd first and last lines, one list after the other; drop blank lines."""
-    lines = [Line(x.indent, x.last, x.text, x.page) for x in lines]
+    lines = [replace(x) for x in lines]
     first, last = first_lines(lines), last_lines(lines)
     for where in (first, last, first[::2], last[::2], first[1::2], last[1::2]):
         for a, b in list(header_runs([lines[i].text for i in where])):
@@ -331,7 +332,7 @@ def without_headers(lines: list[Line]) -> list[Line]:
 
 def clean(lines: list[Line]) -> list[Line]:
     """Trim, and remove page numbers and headers until nothing changes."""
-    lines = [Line(x.indent, x.last, x.text.strip(), x.page) for x in lines if x.text.strip()]
+    lines = [replace(x, text=x.text.strip()) for x in lines if x.text.strip()]
     while True:
         left = without_headers(without_page_numbers(lines))
         if len(left) == len(lines):
@@ -400,18 +401,35 @@ def segment(lines: DataFrame, layouts: DataFrame | None = None, page_width: int
         found = extract([Line(r[2], r[3], r[4], r[5]) for r in rows], two, width, max(r[5] for r in rows))
         return [(str(rows[0][0]), n, x) for n, x in enumerate(found)]
 
+    return _by_document(lines.select(columns), entries, "doc_id string, pos int, reference string")
+
+
+def without_furniture(lines: DataFrame) -> DataFrame:
+    """Lines without page numbers and running headers, removed until nothing changes."""
+    columns = ["doc_id", "line_no", "indent", "last_pos", "str", "page_no"]
+
+    def kept(rows: list[tuple]) -> list[tuple]:
+        left = clean([Line(r[2], r[3], r[4], r[5], r[1]) for r in rows])
+        return [(str(rows[0][0]), x.number, x.indent, x.last, x.text, x.page) for x in left]
+
+    return _by_document(lines.select(columns), kept, "doc_id string, line_no int, indent int, last_pos int, str string, page_no int")
+
+
+def _by_document(lines: DataFrame, f: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
+    """Apply a function to each document's rows in order, one document in memory at a time."""
+    columns, names = lines.columns, [c.split()[0] for c in schema.split(", ")]
+
     def run(batches):
         held: list[tuple] = []
         for p in batches:
             out: list[tuple] = []
             for row in zip(*(p[c].tolist() for c in columns)):
                 if held and held[0][0] != row[0]:
-                    out += entries(held)
+                    out += f(held)
                     held = []
                 held.append(row)
-            yield pd.DataFrame(out, columns=["doc_id", "pos", "reference"])
+            yield pd.DataFrame(out, columns=names)
         if held:
-            yield pd.DataFrame(entries(held), columns=["doc_id", "pos", "reference"])
+            yield pd.DataFrame(f(held), columns=names)
 
-    sets = lines.select(columns).repartition("doc_id").sortWithinPartitions("doc_id", "line_no")
-    return sets.mapInPandas(run, "doc_id string, pos int, reference string")
+    return lines.repartition("doc_id").sortWithinPartitions("doc_id", "line_no").mapInPandas(run, schema)

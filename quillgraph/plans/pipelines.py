@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +45,20 @@ def references(entries: DataFrame) -> DataFrame:
     ).withColumn("doi", F.nullif("doi", F.lit("")))
 
 
-def harvest(pubs: DataFrame, texts: DataFrame, chain: list[Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:
+class Extractor(Protocol):
+    """Turns documents into bibliography entries: ``doc_id``, ``pos``, ``reference``."""
+
+    def __call__(self, texts: DataFrame) -> DataFrame: ...
+
+
+def layout_extractor(texts: DataFrame) -> DataFrame:
+    """The layout rules, over positioned text."""
+    return segment.segment(read_lines(texts))
+
+
+def harvest(pubs: DataFrame, texts: DataFrame, chain: list[Callable[[DataFrame], DataFrame]], extractor: Extractor = layout_extractor) -> dict[str, DataFrame]:
     """Publications and their marked texts to a graph: lines, entries, citations, validators, nodes and edges."""
-    refs = references(segment.segment(read_lines(texts)))
+    refs = references(extractor(texts))
     for validate in chain:
         refs = refs.transform(validate)
     return graph.build(pubs, refs)

@@ -237,3 +237,40 @@ def text_index(spark: SparkSession, sf: str) -> DataFrame:
 @query("src09_offline_search", r"select id, cast(count(*) as bigint) as hits from (select distinct unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) as token, item_id as id from benchmark) where token in ('the', 'that', 'and', 'onon', 'ble') group by id order by hits desc, id limit 3")
 def search(spark: SparkSession, sf: str) -> DataFrame:
     return cat.search(cat.text_index(table(spark, sf, "benchmark"), "item_id", "text"), "the that and onon ble")
+
+
+@query("prj12_journal", "select p_partkey as id, p_type || ' J.' as title, cast(p_size as varchar) as volume, case when p_partkey % 2 = 0 then cast(p_partkey % 9 as varchar) end as number, cast(100 + p_partkey as int) as first_page, case when p_partkey % 3 <> 0 then cast(110 + p_partkey as int) end as last_page, cast(1950 + p_partkey % 70 as int) as year from part")
+def journals(spark: SparkSession, sf: str) -> DataFrame:
+    from quillgraph.functions.journal import parse_journal
+
+    k = F.col("p_partkey")
+    raw = F.concat("p_type", F.lit(" J. "), "p_size", F.when(k % 2 == 0, F.concat(F.lit(", no. "), k % 9)).otherwise(""), F.lit(", "), k + 100, F.when(k % 3 != 0, F.concat(F.lit("-"), k + 110)).otherwise(""), F.lit(" ("), k % 70 + 1950, F.lit(")"))
+    return table(spark, sf, "part").select(k.alias("id"), parse_journal(raw).alias("j")).select("id", "j.*")
+
+
+@query("src08_flt07_changed", "select doc_id from documents where doc_id % 3 <> 0")
+def changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Files to fetch: a third is here and intact, a third has another checksum, a third is missing."""
+    d = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("src/f_"), "doc_id").alias("filename"), F.md5("text").alias("md5sum"), F.col("text").cast("binary").alias("content"))
+    manifest = d.select("doc_id", "filename", F.when(F.col("doc_id") % 3 == 1, F.md5("md5sum")).otherwise(F.col("md5sum")).alias("md5sum"))
+    files = d.where("doc_id % 3 <> 2").select(F.concat(F.lit("/data/"), "filename").alias("path"), "content")
+    return xml.changed(manifest, files).select("doc_id")
+
+
+@query("src04_id_batches", "select o_custkey % 100 as batch, string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as ids from orders group by 1")
+def id_batches(spark: SparkSession, sf: str) -> DataFrame:
+    by = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 100).alias("batch"))
+    return by.agg(F.array_join(F.transform(F.sort_array(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",").alias("ids"))
+
+
+@query("src13_src14_jsn02_records", "select p_partkey as id, p_name as title, cast(p_size as int) as first_page, p_brand as author, cast(null as varchar) as doi from part")
+def open_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalogue rows written as JSON lines and parsed again."""
+    rows = table(spark, sf, "part").select(F.to_json(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("first_page"), structs(F.col("p_brand")).alias("authors"), F.lit("x").alias("unknown"))).alias("value"))
+    parsed = rows.select(F.from_json("value", schemas.CATALOGUE).alias("r")).select("r.*")
+    return parsed.select("id", "title", "first_page", F.get("authors", F.lit(0))["name"].alias("author"), "doi")
+
+
+@query("srt01_srt03_sorted_keys", "select doi, id from (select case when p_partkey % 4 <> 0 then '10.1/' || p_partkey end as doi, p_partkey as id from part)")
+def sorted_dois(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(F.when(F.col("p_partkey") % 4 != 0, F.concat(F.lit("10.1/"), "p_partkey")).alias("doi"), F.col("p_partkey").alias("id")).sort(F.asc_nulls_first("doi"))
