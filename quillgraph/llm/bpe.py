@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -20,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from quillgraph.llm.common import held
+
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words, with the white space before them, whose ids a worker remembers.
@@ -165,14 +166,13 @@ class Bpe:
     def _plain(self, text: str) -> bytes:
         if ODD_SPACE.search(text):
             return self._ids(text)
-        words, out = self.words, []
-        for u in UNIT.findall(text):
-            x = words.get(u)
-            if x is None:
-                x = self._ids(u)
-                if len(words) < REMEMBER:
-                    words[u] = x
-            out.append(x)
+        units, words = UNIT.findall(text), self.words
+        out = list(map(words.get, units))
+        if None in out:
+            new = {u: self._ids(u) for u in {u for u, x in zip(units, out) if x is None}}
+            out = [new[u] if x is None else x for u, x in zip(units, out)]
+            if len(words) < REMEMBER:
+                words.update(new)
         return b"".join(out)
 
     def encode(self, text: str | None) -> bytes:
@@ -191,10 +191,9 @@ class Bpe:
         return self.bytes[at].tobytes().decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
 def load(path: str) -> Bpe:
     """One instance for each worker and file."""
-    return Bpe(path)
+    return held(("bpe", path), lambda: Bpe(path))
 
 
 def bpe_encode(text: Column, path: str) -> Column:

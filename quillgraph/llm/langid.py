@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from quillgraph.llm.common import held
+
 #: Hash bins of the n-grams of one to three characters.
 BINS = 1 << 16
 #: The model is fitted on about this many labelled rows at most, chosen by a hash of the id.
@@ -47,13 +49,14 @@ def grams(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _steps(text: str):
-    """A long text in steps that overlap by less than an n-gram; short texts are one step."""
+    """A long text in steps, so that memory is bounded; the two n-grams across a border of steps are left out."""
     for at in range(0, max(len(text), 1), STEP):
         yield text[at : at + STEP]
 
 
 def _count(batches):
     """Counts of n-grams by language over a partition, without the zeros."""
+    held("langid", dict)
     found: dict[str, np.ndarray] = {}
     for p in batches:
         for lang, text in zip(p["lang"], p["text"]):
@@ -97,7 +100,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 def score_batch(model: Model, texts: list[str]) -> np.ndarray:
     """Log-likelihoods [texts, languages]: sums of the matrix rows of each text's bins."""
     out = np.zeros((len(texts), len(model.langs)))
-    parts, owner, held = [], [], 0
+    parts, owner, size = [], [], 0
 
     def flush() -> None:
         if parts:
@@ -112,10 +115,10 @@ def score_batch(model: Model, texts: list[str]) -> np.ndarray:
             c = codes(part)
             parts.append(c)
             owner.append(i)
-            held += len(c)
-            if held >= STEP:
+            size += len(c)
+            if size >= STEP:
                 flush()
-                parts, owner, held = [], [], 0
+                parts, owner, size = [], [], 0
     flush()
     return out
 
@@ -126,6 +129,7 @@ def predict(spark: SparkSession, model: Model, text: Column) -> Column:
     kind = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(texts: pd.Series) -> pd.DataFrame:
+        held("langid", dict)
         m = Model(*shared.value)
         values = texts.tolist()
         best, score = [UNKNOWN] * len(values), np.zeros(len(values))

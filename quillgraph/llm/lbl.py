@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import materialise, pieces
+from quillgraph.llm.common import held, materialise, pieces
 from quillgraph.llm.langid import held_out
 
 TOP_WORDS = 256
@@ -46,25 +46,23 @@ class SuffixClasses(dict):
         return c
 
 
-_suffixes = SuffixClasses()
-
-
 class WordKeys(dict):
     """A word's 64-bit key: a hash, with the class of its last letters in the lowest bits."""
 
+    def __init__(self):
+        self.suffixes = SuffixClasses()
+        self.tables: dict[str, np.ndarray] = {}
+
     def __missing__(self, word: bytes) -> int:
-        h = (xxhash.xxh3_64_intdigest(word) & ~(SUFFIXES - 1)) | _suffixes[word[-SUFFIX_BYTES:]]
+        h = (xxhash.xxh3_64_intdigest(word) & ~(SUFFIXES - 1)) | self.suffixes[word[-SUFFIX_BYTES:]]
         if len(self) < REMEMBER:
             self[word] = h
         return h
 
 
-_keys = WordKeys()
-
-
 def word_keys(text: str | None) -> np.ndarray:
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(_keys.__getitem__, w), np.uint64, len(w))
+    return np.fromiter(map(held("lbl", WordKeys).__getitem__, w), np.uint64, len(w))
 
 
 class Vocabulary:
@@ -246,14 +244,12 @@ class Scorer:
         self.name = uuid.uuid4().hex
 
 
-_tables: dict[str, np.ndarray] = {}
-
-
 def _normalisers(s: Scorer) -> np.ndarray:
-    if s.name not in _tables:
-        _tables.clear()
-        _tables[s.name] = s.model.normalisers()
-    return _tables[s.name]
+    tables = held("lbl", WordKeys).tables
+    if s.name not in tables:
+        tables.clear()
+        tables[s.name] = s.model.normalisers()
+    return tables[s.name]
 
 
 def _ask(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgraph.llm.common import held
+
 SHINGLE = 5
 CONTAINED = 0.8
 BANDS, ROWS = 16, 2
@@ -54,13 +56,10 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()
-
-
 def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words that are more than punctuation, and their places among all words."""
     w = (text or "").encode("utf-8", "surrogatepass").split()
-    h = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+    h = np.fromiter(map(held("licenses", WordHashes).__getitem__, w), np.uint64, len(w))
     at = np.flatnonzero(h)
     return h[at], at
 
@@ -181,14 +180,8 @@ class Templates:
         return [sorted((self.names[t], a, b, share) for (t, _), (share, a, b) in m.items()) for m in best]
 
 
-_loaded: dict[int, Templates] = {}
-
-
 def _scan(batches, texts: dict[str, str]):
-    key = hash(tuple(sorted(texts.items())))
-    if key not in _loaded:
-        _loaded[key] = Templates(texts)
-    t = _loaded[key]
+    t = Templates(texts)
     for p in batches:
         found = t.scan(p["text"].tolist())
         rows = [(i, *m) for i, own in zip(p["doc_id"].astype(object).where(p["doc_id"].notna(), None), found) for m in own]

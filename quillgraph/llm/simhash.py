@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from quillgraph.llm.common import connected_components, discard, materialise
+from quillgraph.llm.common import connected_components, held, materialise
 
 #: 64 bits in a ring of 16 segments of 4 bits. With at most 3 differing bits there is a segment from which every
 #: chain of l segments has at most floor(3 l / 16) differing bits: none in 5, one in 10, two in 15, three in 16.
@@ -41,6 +41,7 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 @F.pandas_udf(LongType())
 def simhash(texts: pd.Series) -> pd.Series:
     """SimHash over three-word shingles, repeats included, each hashed by XXH64 with seed 42."""
+    held("simhash", dict)
     return pd.Series([fingerprint(x) for x in texts], dtype="int64")
 
 

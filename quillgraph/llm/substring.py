@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import pieces
+from quillgraph.llm.common import held, pieces
 
 #: Text bytes of a chunk, and window hashes of a bucket; both bound what one task holds.
 CHUNK_BYTES = 4 << 20
@@ -25,7 +25,6 @@ BUCKET_WINDOWS = 2_000_000
 #: Odd bases of the two rolling hashes modulo 2**64, and their inverses.
 BASE = 0x9E3779B97F4A7C15
 BASE2 = 0xD1342543DE82EF95
-MASK = (1 << 64) - 1
 #: Distinct words whose hash a worker remembers.
 REMEMBER = 300_000
 
@@ -40,7 +39,6 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -73,9 +71,9 @@ class Chunk:
         self.ends = np.cumsum(size)
         total = int(self.ends[-1]) if len(size) else 0
         h = np.empty(total, np.uint64)
-        at = 0
+        at, hashes = 0, held("substring", WordHashes)
         for w in self.words:
-            h[at : at + len(w)] = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+            h[at : at + len(w)] = np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
             at += len(w)
         row = np.repeat(np.arange(len(size)), size)
         known = np.array([x is not None for x in ids], bool)
