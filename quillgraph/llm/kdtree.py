@@ -112,7 +112,7 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", tex
     most = max(1.0, (total or 0) / shards * WHOLE)
     key = ["text_crc32", "hash", "size"]
     groups = rows.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "t0", "t1")).alias("first"))
-    groups = groups.withColumn("parts", F.ceil(F.col("n") * F.col("size") / F.lit(most)).cast("int"))
+    groups = materialise(groups.withColumn("parts", F.ceil(F.col("n") * F.col("size") / F.lit(most)).cast("int")))  # written, so that joins on it can split a hot unit
     sub = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))
     part = sub % F.col("parts")
     # Only units that are dealt out need counts by part. They are summed by part of a hash before they meet their unit,
