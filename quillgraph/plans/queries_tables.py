@@ -330,17 +330,6 @@ def harvested(spark: SparkSession, sf: str) -> DataFrame:
     return as_references(segmented(spark, sf)).withColumn("seen", parse_year(F.col("raw"))).select("pub_id", "pos", "raw", "year", "seen", "is_reference", "validated")
 
 
-@query("win04_win06_furniture", f"with {REFERENCES_SQL} select pub_id as doc_id, cast(pos as int) as page_no, raw as str from refs")
-def furniture(spark: SparkSession, sf: str) -> DataFrame:
-    """A page for each item, with a running header and the page's number around a line; both go."""
-    refs = references(spark, sf).select(F.col("pub_id").alias("doc_id"), F.col("pos").alias("page_no"), "raw")
-    page = F.array(*[F.struct(i.alias("indent"), t.alias("str")) for i, t in ((F.lit(lines.START), F.lit(lines.PAGE_START)), (F.lit(50), F.concat(F.lit("A running header of order "), "doc_id")), (F.lit(50), F.col("raw")), (F.lit(50), F.col("page_no").cast("string")), (F.lit(lines.END), F.lit(lines.PAGE_END)))])
-    made = refs.where(F.col("page_no") > 0).select("doc_id", "page_no", F.posexplode(page).alias("n", "x")).select("doc_id", (F.col("page_no") * 5 + F.col("n")).alias("line_no"), "x.indent", F.lit(700).alias("last_pos"), "x.str", "page_no")
-    kept = lines.without_marks(segment.without_furniture(made))
-    # Headers of fewer than three pages stay, and so do numbers that don't show on every page.
-    return kept.where(~F.col("str").startswith("A running header") & (F.length("str") > 3)).select("doc_id", "page_no", "str")
-
-
 # Similarity.
 
 _PAIRS = "names as (select distinct p_name as s from part), pairs as (select a.s as a, b.s as b from names a, names b)"
