@@ -7,12 +7,14 @@ every token has a normalised probability, known or not.
 
 from __future__ import annotations
 
+import copy
 import uuid
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -214,7 +216,7 @@ def _count(batches):
 
 def _train(batches, shared):
     """Train the shared first model on a partition's texts; its parameters, weighted by the tokens seen."""
-    vocabulary, model = shared.value
+    vocabulary, model = shared.value[0], copy.deepcopy(shared.value[1])  # a worker keeps the shared one for its next task
     seen, waiting, size, seed = 0, [], 0, 17
     for p in batches:
         for text in p["text"]:
@@ -227,7 +229,7 @@ def _train(batches, shared):
         model.train(*vocabulary.sequence(waiting), seed=seed)
         seen += size
     if seen:
-        yield pd.DataFrame({"part": [uuid.uuid4().int % TASKS_MERGED], "n": [float(seen)], "flat": [model.pack()]})
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % TASKS_MERGED], "n": [float(seen)], "flat": [model.pack()]})
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
