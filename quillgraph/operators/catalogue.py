@@ -70,11 +70,13 @@ def blocking_keys(rows: DataFrame, probe: bool) -> DataFrame:
 def postings(catalogue: DataFrame, cap: int = CAP) -> DataFrame:
     """The inverted index: ``block``, ``key``, ``id`` for each posting, hot keys left out.
 
-    A hot key is known from its count alone, so no list is ever gathered for it.
+    A hot key is known from its partial counts alone, so no list is ever gathered for it. Hot keys are few beside the
+    others, so the engine can broadcast them after checking their size, and their rows go before any shuffle; if they
+    are many, the anti join is a shuffle whose large partitions can be split.
     """
     keyed = blocking_keys(catalogue, probe=False).select("block", "key", "id")
-    cold = keyed.groupBy("block", "key").agg(F.count("*").alias("n")).where(F.col("n") < cap).select("block", "key")
-    return keyed.join(cold, ["block", "key"], "left_semi")
+    hot = keyed.groupBy("block", "key").agg(F.count("*").alias("n")).where(F.col("n") >= cap).select("block", "key")
+    return keyed.join(hot, ["block", "key"], "left_anti")
 
 
 def posting_lists(catalogue: DataFrame, cap: int = CAP) -> DataFrame:
