@@ -24,7 +24,8 @@ from quillgraph.llm.common import held
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words, with the white space before them, whose ids a worker remembers.
-REMEMBER = 800_000
+REMEMBER = 600_000
+REMEMBER_PIECES = 400_000
 #: Pairs of the compatibility table that a worker keeps.
 MOST_PAIRS = 400_000
 #: These count as white space for re but not for the pattern above.
@@ -70,6 +71,7 @@ class Bpe:
         self.spines: tuple[dict, dict] = ({}, {})
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.pack = {i: np.uint32(i).tobytes() for i in [*vocab.values(), *self.special.values()]}
         # The decoder's table: all tokens' bytes, and where each begins.
         most = max([*vocab.values(), *self.special.values()])
@@ -157,10 +159,14 @@ class Bpe:
         return out
 
     def _ids(self, text: str) -> bytes:
-        pack, out = self.pack, []
+        known, out = self.pieces, []
         for p in self.pattern.findall(text):
-            for i in self.piece(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.to_letters)):
-                out.append(pack[i])
+            x = known.get(p)
+            if x is None:
+                x = b"".join([self.pack[i] for i in self.piece(p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.to_letters))])
+                if len(known) < REMEMBER_PIECES:
+                    known[p] = x
+            out.append(x)
         return b"".join(out)
 
     def _plain(self, text: str) -> bytes:
