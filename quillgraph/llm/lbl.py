@@ -33,8 +33,8 @@ RATE = 0.08
 FIRST_ROWS = 1500
 CHUNK_BYTES = 12 << 20
 REMEMBER = 450_000
-#: Distinct words that a counting task holds before it passes them on.
-MOST_COUNTED = 400_000
+#: Words that a counting task holds before it passes their counts on.
+MOST_COUNTED = 4_000_000
 TASKS_MERGED = 64
 
 
@@ -99,7 +99,7 @@ def _add_rows(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     order = np.argsort(index, kind="stable")
     i = index[order]
     begin = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
-    total[i[begin]] += np.add.reduceat(rows[order], begin, axis=0)
+    total[i[begin]] += np.add.reduceat(rows.take(order, 0), begin, axis=0)
 
 
 class LogBilinear:
@@ -121,12 +121,13 @@ class LogBilinear:
         """One AdaGrad step: tell the tokens from noise drawn by frequency and shared by the batch."""
         draws = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, len(self.q) - 1).astype(np.int16)
         n = np.float32(len(w))
-        ra, rb, qw, qd = self.r[a], self.r[b], self.q[w], self.q[draws]
-        ctx = ra @ self.c1
-        ctx += rb @ self.c2
+        qw, qd = self.q.take(w, 0), self.q.take(draws, 0)
+        # There are far fewer classes than tokens: the matrices meet sums by class only.
+        ctx = (self.r @ self.c1).take(a, 0)
+        ctx += (self.r @ self.c2).take(b, 0)
         offset = self.bias - self.log_k
         good = np.einsum("ij,ij->i", ctx, qw)
-        good += offset[w]
+        good += offset.take(w)
         np.exp(good, out=good)
         good += 1
         np.divide(1 / n, good, out=good)
@@ -139,15 +140,17 @@ class LogBilinear:
         d_ctx = bad @ qd
         qw *= good[:, None]
         d_ctx += qw
-        grads = {k: np.zeros_like(getattr(self, k)) for k in ("r", "q", "bias")}
-        np.add.at(grads["q"], draws, bad.T @ ctx)
+        grads = {k: np.zeros_like(getattr(self, k)) for k in ("q", "bias")}
+        np.add.at(grads["q"], draws, (ctx.T @ bad).T)
         np.add.at(grads["bias"], draws, bad.sum(0))
         grads["bias"] += np.bincount(w, weights=good, minlength=len(self.q)).astype(np.float32)
-        grads["c1"], grads["c2"] = ra.T @ d_ctx, rb.T @ d_ctx
         ctx *= good[:, None]
         _add_rows(grads["q"], w, ctx)
-        _add_rows(grads["r"], a, d_ctx @ self.c1.T)
-        _add_rows(grads["r"], b, d_ctx @ self.c2.T)
+        by_a, by_b = np.zeros_like(self.r), np.zeros_like(self.r)
+        _add_rows(by_a, a, d_ctx)
+        _add_rows(by_b, b, d_ctx)
+        grads["c1"], grads["c2"] = self.r.T @ by_a, self.r.T @ by_b
+        grads["r"] = by_a @ self.c1.T + by_b @ self.c2.T
         for k, g in grads.items():
             self.squares[k] += g * g * n
             getattr(self, k)[...] += RATE * g * np.sqrt(n) / np.sqrt(self.squares[k])
@@ -185,33 +188,28 @@ class LogBilinear:
         out = np.empty(len(w))
         for at in range(0, len(w), 1 << 16):
             i = slice(at, at + (1 << 16))
-            out[i] = ((ra[a[i]] + rb[b[i]]) * self.q[w[i]]).sum(1) + self.bias[w[i]] - z[a[i], b[i]]
+            out[i] = np.einsum("ij,ij->i", ra.take(a[i], 0) + rb.take(b[i], 0), self.q.take(w[i], 0)) + self.bias[w[i]] - z[a[i], b[i]]
         return out
 
 
 def _count(batches):
-    """Counts of a partition's words, passed on whenever many distinct ones are held."""
-    held = np.empty(0, np.uint64), np.empty(0, np.int64)
-    waiting, n = [], 0
+    """Counts of a partition's words, passed on every few million words."""
 
-    def merge():
-        k = np.concatenate([held[0], *waiting])
-        weight = np.concatenate((held[1], np.ones(len(k) - len(held[0]), np.int64)))
-        u, at = np.unique(k, return_inverse=True)
-        return u, np.bincount(at, weights=weight, minlength=len(u)).astype(np.int64)
+    def counted() -> pd.DataFrame:
+        k = np.concatenate(waiting) if waiting else np.empty(0, np.uint64)
+        k.sort()
+        begin = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
+        return pd.DataFrame({"key": k[begin].view(np.int64), "n": np.diff(begin, append=len(k))})
 
-    frame = lambda h: pd.DataFrame({"key": h[0].view(np.int64), "n": h[1]})
+    waiting, n = [], 0
     for p in batches:
         for text in p["text"]:
-            k = word_keys(text)
-            waiting.append(k)
-            n += len(k)
-            if n >= 1_000_000:
-                held, waiting, n = merge(), [], 0
-                if len(held[0]) >= MOST_COUNTED:
-                    yield frame(held)
-                    held = np.empty(0, np.uint64), np.empty(0, np.int64)
-    yield frame(merge())
+            waiting.append(word_keys(text))
+            n += len(waiting[-1])
+            if n >= MOST_COUNTED:
+                yield counted()
+                waiting, n = [], 0
+    yield counted()
 
 
 def _train(batches, shared):
