@@ -1,13 +1,16 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
 The model predicts a class from the two tokens before: the commonest words and the end are classes of their own, other
-words share the class of their last letters and take their share of it from counts over the whole training corpus. So
-every token has a normalised probability, known or not.
+words share the class of their last letters. Within such a class a word is predicted from the token before: each word
+has a list of how often it followed which context state, a part of the hash of the word before. The lists grow with the
+distinct training words and the number of states with the square root of the training text. A pair not seen takes its
+share from the word's count over the whole training corpus. So every token has a normalised probability, known or not.
 """
 
 from __future__ import annotations
 
 import copy
+import math
 import uuid
 from functools import partial
 
@@ -36,6 +39,10 @@ REMEMBER = 450_000
 #: Words that a counting task holds before it passes their counts on.
 MOST_COUNTED = 4_000_000
 TASKS_MERGED = 64
+#: Context states: a power of two of at least the square root of the training text's bytes by this.
+BYTES_ROOT_BY = 64
+#: Training text whose word counts are merged by one task.
+MERGE_BYTES = 8 << 20
 
 
 class SuffixClasses(dict):
@@ -67,6 +74,53 @@ def word_keys(text: str | None) -> np.ndarray:
     return np.fromiter(map(held("lbl", WordKeys).__getitem__, w), np.uint64, len(w))
 
 
+def contexts(texts_keys: list[np.ndarray], states: int) -> tuple[np.ndarray, np.ndarray]:
+    """All words' keys and their context states, from the hash of the word before; before the first there is state 0."""
+    k = np.concatenate(texts_keys) if texts_keys else np.empty(0, np.uint64)
+    s = np.zeros(len(k), np.uint64)
+    s[1:] = (k[:-1] >> np.uint64(SUFFIXES.bit_length() - 1)) & np.uint64(states - 1)
+    starts = np.cumsum([0] + [len(x) for x in texts_keys])[:-1]
+    s[starts[starts < len(s)]] = 0
+    return k, s
+
+
+def paired(k: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys and their counts; for each place in order of key its pair (rank of the key << 32 | state), and that order."""
+    order = np.argsort(k)
+    k = k[order]
+    first = np.concatenate(([True], k[1:] != k[:-1])) if len(k) else np.empty(0, bool)
+    begin = np.flatnonzero(first)
+    pair = (np.cumsum(first) - 1).astype(np.uint64) << np.uint64(32) | s[order]
+    return k[begin], np.diff(begin, append=len(k)), pair, order
+
+
+def summed(pair: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order and how often each occurs, or the sum of their n."""
+    if n is None:
+        pair = np.sort(pair)
+    else:
+        order = np.argsort(pair)
+        pair, n = pair[order], n[order]
+    begin = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else np.empty(0, np.int64)
+    if n is None:
+        return pair[begin], np.diff(begin, append=len(pair))
+    return pair[begin], np.add.reduceat(n, begin) if len(begin) else n
+
+
+def listed(pair: np.ndarray, values: np.ndarray, rows: int) -> list[bytes]:
+    """The values of each row's pairs."""
+    ends = np.cumsum(np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=rows)) * values.itemsize
+    blob, ends = values.tobytes(), [0, *ends.tolist()]
+    return [blob[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def unlisted(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows, and each value's row."""
+    values = np.frombuffer(b"".join(column), kind)
+    size = np.fromiter(map(len, column), np.int64, len(column)) // np.dtype(kind).itemsize
+    return values, np.repeat(np.arange(len(size)), size)
+
+
 class Vocabulary:
     """Classes: suffix classes, then the commonest words, then the end; one more stands before a text begins."""
 
@@ -192,14 +246,16 @@ class LogBilinear:
         return out
 
 
-def _count(batches):
-    """Counts of a partition's words, passed on every few million words."""
+_LOW = np.uint64(2**32 - 1)
+
+
+def _count(batches, states: int = 1):
+    """Counts of a partition's words and of the states before each (state << 32 | n), passed on every few million words."""
 
     def counted() -> pd.DataFrame:
-        k = np.concatenate(waiting) if waiting else np.empty(0, np.uint64)
-        k.sort()
-        begin = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, np.int64)
-        return pd.DataFrame({"key": k[begin].view(np.int64), "n": np.diff(begin, append=len(k))})
+        every, n, pair, _ = paired(*contexts(waiting, states))
+        pair, m = summed(pair)
+        return pd.DataFrame({"key": every.view(np.int64), "n": n, "before": listed(pair, (pair & _LOW) << np.uint64(32) | m.astype(np.uint64), len(every))})
 
     waiting, n = [], 0
     for p in batches:
@@ -212,6 +268,30 @@ def _count(batches):
     yield counted()
 
 
+def _merge_counts(pdf: pd.DataFrame) -> pd.DataFrame:
+    every, back = np.unique(pdf["key"].to_numpy(np.int64), return_inverse=True)
+    n = np.zeros(len(every), np.int64)
+    np.add.at(n, back, pdf["n"].to_numpy(np.int64))
+    values, row = unlisted(pdf["before"], np.uint64)
+    pair, m = summed(back[row].astype(np.uint64) << np.uint64(32) | values >> np.uint64(32), values & _LOW)
+    return pd.DataFrame({"key": every, "n": n, "before": listed(pair, (pair & _LOW) << np.uint64(32) | m, len(every))})
+
+
+def _totals(batches, top: np.ndarray, states: int):
+    """For each class and state the words seen and the distinct ones, without the commonest words; as -1, pairs seen once and twice."""
+    n, v, once, twice = np.zeros(SUFFIXES * states, np.int64), np.zeros(SUFFIXES * states, np.int64), 0, 0
+    for p in batches:
+        p = p[~np.isin(p["key"].to_numpy(np.int64).view(np.uint64), top)]
+        values, row = unlisted(p["before"], np.uint64)
+        suffix = p["key"].to_numpy(np.int64) & (SUFFIXES - 1)
+        at, m = suffix[row] * states + (values >> np.uint64(32)).astype(np.int64), (values & _LOW).astype(np.int64)
+        np.add.at(n, at, m)
+        np.add.at(v, at, 1)
+        once, twice = once + int((m == 1).sum()), twice + int((m == 2).sum())
+    have = np.flatnonzero(v)
+    yield pd.DataFrame({"at": np.append(have, -1), "n": np.append(n[have], once), "v": np.append(v[have], twice)})
+
+
 def _train(batches, shared):
     """Train the shared first model on a partition's texts; its parameters, weighted by the tokens seen."""
     vocabulary, model = shared.value[0], copy.deepcopy(shared.value[1])  # a worker keeps the shared one for its next task
@@ -237,12 +317,26 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 class Scorer:
-    """Everything scoring needs that is bounded: classes, their counts, and the network."""
+    """Everything scoring needs besides the words' counts: classes, their counts by context state, and the network."""
 
-    def __init__(self, vocabulary, model, class_n, class_v, n, v, ends):
+    def __init__(self, vocabulary, model, class_n, class_v, n, v, ends, states, pair_n, pair_v, discount):
         self.vocabulary, self.model, self.class_n, self.class_v, self.n, self.v, self.ends = vocabulary, model, class_n, class_v, n, v, ends
+        self.states, self.pair_n, self.pair_v, self.discount = states, pair_n, pair_v, discount
         self.name = uuid.uuid4().hex
 
+    def pairs(self, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys, each place's pair in order of key, that order, and each place's key and state; a class of its own needs no state."""
+        k, s = contexts(keys, self.states)
+        s[np.isin(k, self.vocabulary.top)] = 0
+        every, _, pair, order = paired(k, s)
+        return every, pair, order, k, s
+
+    def within(self, c: np.ndarray, s: np.ndarray, count: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Probability of words in their class: absolute discounting of what followed a state, the rest by the words' counts."""
+        share = (count + 1) / (self.class_n[c] + self.class_v[c] + 1)
+        n, v = self.pair_n[c * self.states + s], self.pair_v[c * self.states + s]
+        return np.where(n > 0, (np.maximum(seen - self.discount, 0) + self.discount * v * share) / np.maximum(n, 1), share)
+
 
 def _normalisers(s: Scorer) -> np.ndarray:
     tables = held("lbl", WordKeys).tables
@@ -252,10 +346,22 @@ def _normalisers(s: Scorer) -> np.ndarray:
     return tables[s.name]
 
 
-def _ask(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = [word_keys(t) for t in pdf["_text"]]
-    u = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
-    return pd.DataFrame({"_chunk": pdf["_chunk"].iloc[0], "key": u.view(np.int64)})
+def _ask(pdf: pd.DataFrame, shared) -> pd.DataFrame:
+    every, pair, *_ = shared.value.pairs([word_keys(t) for t in pdf["_text"]])
+    pair = summed(pair)[0]
+    return pd.DataFrame({"_chunk": pdf["_chunk"].iloc[0], "key": every.view(np.int64), "asked": listed(pair, (pair & _LOW).astype(np.uint32), len(every))})
+
+
+def _pick(batches):
+    """Of each word's states the counts that a chunk asked for."""
+    for p in batches:
+        states, row = unlisted(p["asked"], np.uint32)
+        want = row.astype(np.uint64) << np.uint64(32) | states
+        values, row = unlisted(p["before"], np.uint64)
+        have = np.append(row.astype(np.uint64) << np.uint64(32) | values >> np.uint64(32), ~np.uint64(0))
+        at = np.searchsorted(have, want)
+        found = np.where(have[at] == want, np.append(values & _LOW, np.uint64(0))[at], 0).astype(np.uint32)
+        yield pd.DataFrame({"_chunk": p["_chunk"], "key": p["key"], "n": p["n"], "found": listed(want, found, len(p))})
 
 
 def _score(docs: pd.DataFrame, known: pd.DataFrame, shared) -> pd.DataFrame:
@@ -265,15 +371,18 @@ def _score(docs: pd.DataFrame, known: pd.DataFrame, shared) -> pd.DataFrame:
         return pd.DataFrame(columns=names)
     keys = [word_keys(t) for t in docs["_text"]]
     size = np.array([len(k) + 1 for k in keys])
-    every, back = np.unique(np.concatenate(keys), return_inverse=True)
+    every, pair, order, k, state = s.pairs(keys)
     c = np.zeros(len(every), np.int64)
-    have = known["key"].to_numpy(np.int64).view(np.uint64)
-    c[np.searchsorted(every, have)] = known["n"]
+    have = np.searchsorted(every, known["key"].to_numpy(np.int64).view(np.uint64))
+    c[have] = known["n"]
     ends = np.cumsum(size) - 1
     count = np.full(int(size.sum()), s.ends, np.int64)
     word = np.ones(len(count), bool)
     word[ends] = False
-    count[word] = c[back]
+    rank = (pair >> np.uint64(32)).astype(np.int64)
+    of_word = np.empty(len(k), np.int64)
+    of_word[order] = c[rank]
+    count[word] = of_word
     begin = ends - size + 1
     base = np.log10((count + 1) / (s.n + s.v + 1))
     if s.model is None:
@@ -281,20 +390,31 @@ def _score(docs: pd.DataFrame, known: pd.DataFrame, shared) -> pd.DataFrame:
     else:
         w, a, b = s.vocabulary.sequence(keys)
         score = s.model.log_probabilities(w, a, b, _normalisers(s)) / np.log(10)
+        pairs, back = np.unique(pair, return_inverse=True)
+        followed, asked = np.zeros(len(pairs), np.int64), np.zeros(len(every), bool)
+        asked[have] = True
+        followed[asked[(pairs >> np.uint64(32)).astype(np.int64)]] = np.frombuffer(b"".join(known["found"].iloc[np.argsort(have)]), np.uint32)
+        seen, before = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
+        of_word[order] = followed[back]
+        seen[word], before[word] = of_word, state.astype(np.int64)
         rare = w < SUFFIXES
-        score[rare] += np.log10((count[rare] + 1) / (s.class_n[w[rare]] + s.class_v[w[rare]] + 1))
+        score[rare] += np.log10(s.within(w[rare].astype(np.int64), before[rare], count[rare], seen[rare]))
     return pd.DataFrame({"_id": docs["_id"], "n_tokens": size, "n_known": np.add.reduceat((count > 0).astype(np.int64), begin), "train_tokens": s.n, "base_score": np.add.reduceat(base, begin), "score": np.add.reduceat(score, begin)})[names]
 
 
 def fit_lbl(train: DataFrame, text_col: str = "text", id_col: str = "doc_id", top_words: int = TOP_WORDS) -> tuple[Scorer, DataFrame]:
-    """Count all words of ``train`` and train the network on all its tokens.
+    """Count all words of ``train`` with the states before them, and train the network on all its tokens.
 
     The driver trains first on about FIRST_ROWS rows; from there each task trains on its own rows and the networks are
-    averaged by tokens, in groups. Returns what scoring needs and the table of counts (key, n).
+    averaged by tokens, in groups. Returns what scoring needs and the table of counts (key, n, before).
     """
     spark = train.sparkSession
     texts = train.select(F.col(text_col).alias("text"))
-    counts = materialise(texts.mapInPandas(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    states = 1 << math.ceil(math.log2(max(16, math.sqrt(size) / BYTES_ROOT_BY)))
+    kind = "key long, n long, before binary"
+    parts = F.pmod(F.xxhash64("key"), F.lit(pieces(size, MERGE_BYTES, spark, 512 << 10)))
+    counts = materialise(texts.mapInPandas(partial(_count, states=states), kind).groupBy(parts).applyInPandas(_merge_counts, kind))
     rows = train.select(id_col).count()
     top = [(r["key"] & (2**64 - 1), r["n"]) for r in counts.orderBy(F.desc("n"), "key").limit(top_words).collect()]
     vocabulary = Vocabulary([k for k, _ in top])
@@ -307,8 +427,17 @@ def fit_lbl(train: DataFrame, text_col: str = "text", id_col: str = "doc_id", to
         class_v[k & (SUFFIXES - 1)] -= 1
         class_n[SUFFIXES + int(np.searchsorted(vocabulary.top, np.uint64(k)))] = c
     class_n[vocabulary.end] = rows
+    pair_n, pair_v, once, twice = np.zeros(SUFFIXES * states, np.int64), np.zeros(SUFFIXES * states, np.int64), 0, 0
+    totals = counts.select("key", "before").mapInPandas(partial(_totals, top=vocabulary.top, states=states), "at long, n long, v long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    for r in totals.collect():
+        if r["at"] < 0:
+            once, twice = r["n"], r["v"]
+        else:
+            pair_n[r["at"]], pair_v[r["at"]] = r["n"], r["v"]
+    # The usual estimate from the pairs seen once and twice.
+    states = (states, pair_n, pair_v, once / (once + 2 * twice) if twice else 0.75)
     if not rows:
-        return Scorer(vocabulary, None, class_n, class_v, n, v, rows), counts
+        return Scorer(vocabulary, None, class_n, class_v, n, v, rows, *states), counts
     model = LogBilinear(class_n)
     share = min(1.0, FIRST_ROWS / rows)
     first = train if share == 1 else train.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
@@ -322,13 +451,13 @@ def fit_lbl(train: DataFrame, text_col: str = "text", id_col: str = "doc_id", to
     total = sum(r["n"] for r in trained)
     if total:
         model.unpack(sum(np.frombuffer(r["flat"], np.float32) * np.float32(r["n"] / total) for r in trained))
-    return Scorer(vocabulary, model, class_n, class_v, n, v, rows), counts
+    return Scorer(vocabulary, model, class_n, class_v, n, v, rows, *states), counts
 
 
 def score_lbl(docs: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score whole texts: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    Documents are dealt into chunks; each asks for the counts of its distinct words only. Null and empty texts are
+    Documents are dealt into chunks; each asks for the counts of its distinct words and pairs only. Null and empty texts are
     the end token alone; repeated rows and null ids are scored like any other; if nothing was learned the score is
     the base score; an empty table gives no rows; other columns are ignored.
     """
@@ -337,9 +466,9 @@ def score_lbl(docs: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str =
     size = base.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     chunks = pieces(size, CHUNK_BYTES, spark, 512 << 10)
     base = base.withColumn("_chunk", F.pmod(F.xxhash64("_id", F.octet_length("_text")), F.lit(chunks)).cast("int"))
-    asked = base.groupBy("_chunk").applyInPandas(_ask, "_chunk int, key long")
-    known = asked.join(counts, "key")
     shared = spark.sparkContext.broadcast(scorer)
+    asked = base.groupBy("_chunk").applyInPandas(partial(_ask, shared=shared), "_chunk int, key long, asked binary")
+    known = asked.join(counts, "key").mapInPandas(_pick, "_chunk int, key long, n long, found binary")
     out = base.groupBy("_chunk").cogroup(known.groupBy("_chunk")).applyInPandas(partial(_score, shared=shared), "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("_id", "doc_id")
 

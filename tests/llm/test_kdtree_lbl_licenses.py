@@ -116,6 +116,30 @@ def test_lbl_edges(spark):
     assert lbl.score_lbl(docs.limit(0), scorer, counts).count() == 0
 
 
+def test_rare_words_of_one_class_are_told_apart_by_the_word_before(spark):
+    """Swapping two rare words with the same last letters: all class terms and counts stay, the order of words does not."""
+    pairs = [(f"left{i}", f"w{i}xing") for i in range(40)]
+    train = [(i, " ".join(w for p in pairs for w in p)) for i in range(20)]
+    scorer, counts = lbl.fit_lbl(table(spark, train), top_words=0)
+    right = " ".join(w for p in pairs for w in p)
+    swapped = " ".join(w for p in zip([a for a, _ in pairs], [b for _, b in pairs[1:] + pairs[:1]]) for w in p)
+    got = {r["doc_id"]: r for r in lbl.score_lbl(table(spark, [(1, right), (2, swapped)]), scorer, counts).collect()}
+    assert got[1]["base_score"] == pytest.approx(got[2]["base_score"]) and got[1]["score"] > got[2]["score"] + 5
+
+
+def test_words_of_a_class_sum_to_one_after_each_state(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join(f"{rng.choice('abcdef')}{rng.randint(0, 30)}ing" for _ in range(60))) for i in range(30)]
+    scorer, counts = lbl.fit_lbl(table(spark, docs), top_words=3)
+    rows = [(r["key"] & (2**64 - 1), r["n"], dict(zip(*np.divmod(np.frombuffer(r["before"], np.uint64), np.uint64(2**32))))) for r in counts.collect()]
+    assert sum(sum(map(int, b.values())) for _, _, b in rows) == sum(n for _, n, _ in rows) == 30 * 60
+    rare = [(n, b) for k, n, b in rows if k not in set(scorer.vocabulary.top.tolist())]
+    c = {k & (lbl.SUFFIXES - 1) for k, _, _ in rows}.pop()
+    for s in range(scorer.states):
+        p = scorer.within(np.full(len(rare) + 1, c), np.full(len(rare) + 1, s), np.array([n for n, _ in rare] + [0]), np.array([int(b.get(s, 0)) for _, b in rare] + [0]))
+        assert p.sum() == pytest.approx(1)
+
+
 def test_counts_are_passed_on_when_many(spark, monkeypatch):
     frames = list(lbl._count(iter([docs_frame()])))
     total = collections.Counter()
