@@ -103,15 +103,17 @@ class MultiIndex:
 
 def _visit(batches, shared):
     """The cells of each vector: its own, and the others that it visits."""
-    index: MultiIndex = shared.value
     for p in batches:
-        for at in range(0, len(p), 1024):
-            q = p.iloc[at : at + 1024]
+        length = p["vector"].map(len)
+        for q, d in ((q.iloc[at : at + 1024], d) for d, q in p.groupby(length) for at in range(0, len(q), 1024)):
+            index: MultiIndex = shared.value[d]
+            if index is None:
+                continue
             x, ok = unit(q["vector"].tolist())
             x, q = x[ok], q[ok]
             if len(x):
                 cells = index.visits(x)
-                yield pd.DataFrame({"label": q["label"], "id": q["id"], "own": [c[0] for c in cells], "cells": cells, "unit": [v.tobytes() for v in x]})
+                yield pd.DataFrame({"label": q["label"], "length": d, "id": q["id"], "own": [c[0] for c in cells], "cells": cells, "unit": [v.tobytes() for v in x]})
 
 
 def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
@@ -167,35 +169,35 @@ def fit(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL
 
 
 def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Link vectors of equal label with cosine at least ``threshold``, found by the multi-index.
+    """Link vectors of equal label and length with cosine at least ``threshold``, found by the multi-index.
 
     Returns a row for each input row: ``vec_id``, ``n_links``, ``component_id`` (smallest id reachable) and ``kept``.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and so do rows with
-    a null label or id and vectors of another length than most. Rows that repeat an id don't link with each other
+    a null label or id. Each length of vector has an index of its own. Rows that repeat an id don't link with each other
     and share its links. A null id has no component and is kept. An empty table gives no rows; other columns are ignored.
     """
     spark = table.sparkSession
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
     usable = rows.where("id is not null and label is not null and size(vector) > 0 and not exists(vector, v -> v is null or isnan(v) or abs(v) = double('infinity'))")
-    length = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    index = fit(usable.where(F.size("vector") == length[0]["d"]), threshold, recall) if length else None
+    lengths = [r["d"] for r in usable.select(F.size("vector").alias("d")).distinct().collect()]
+    index = {d: fit(usable.where(F.size("vector") == d), threshold, recall) for d in lengths}
     base = rows.select(F.col("id").alias("vec_id"))
-    if index is None:
+    if not any(index.values()):
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     shared = spark.sparkContext.broadcast(index)
-    placed = usable.where(F.size("vector") == length[0]["d"]).repartition(F.col("id")).mapInPandas(partial(_visit, shared=shared), "label string, id long, own int, cells array<int>, unit binary")
+    placed = usable.repartition(F.col("id")).mapInPandas(partial(_visit, shared=shared), "label string, length int, id long, own int, cells array<int>, unit binary")
     placed = materialise(placed)
     visits = placed.withColumn("cell", F.explode("cells"))
-    sizes = visits.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count_if(F.col("own") == F.col("cell")).alias("held")).where("held > 0").drop("held")
-    dealt = visits.join(sizes, ["label", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    sizes = visits.groupBy("label", "length", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count_if(F.col("own") == F.col("cell")).alias("held")).where("held > 0").drop("held")
+    dealt = visits.join(sizes, ["label", "length", "cell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # A row meets every block of the other side; in a cell of one block it stands for both sides.
     meets = """
         if(blocks = 1, array(named_struct('q', 0, 'x', 0, 'is_q', true, 'is_x', own = cell)), concat(
             transform(sequence(0, blocks - 1), i -> named_struct('q', block, 'x', i, 'is_q', true, 'is_x', false)),
             if(own = cell, transform(sequence(0, blocks - 1), i -> named_struct('q', i, 'x', block, 'is_q', false, 'is_x', true)), array())))"""
-    dealt = dealt.withColumn("m", F.explode(F.expr(meets))).select("label", "cell", "id", "own", "cells", "unit", "m.*")
-    found = materialise(dealt.groupBy("label", "cell", "q", "x").applyInPandas(partial(_verify, threshold=threshold), "a long, b long, n long"))
+    dealt = dealt.withColumn("m", F.explode(F.expr(meets))).select("label", "length", "cell", "id", "own", "cells", "unit", "m.*")
+    found = materialise(dealt.groupBy("label", "length", "cell", "q", "x").applyInPandas(partial(_verify, threshold=threshold), "a long, b long, n long"))
     links = found.where("n > 0").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
     groups = connected_components(found.where("n = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("vec_id"), "component")
     out = base.join(links, "vec_id", "left").join(groups, "vec_id", "left")

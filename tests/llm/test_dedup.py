@@ -230,6 +230,12 @@ def test_multi_index_edges(spark):
     assert multi_index.near_vectors(empty).count() == 0
 
 
+def test_multi_index_links_every_length(spark):
+    x = {i: [1.0, float(i % 3), 0.5] for i in range(30)} | {i: [2.0, float(i % 2)] for i in range(30, 40)} | {40: [3.0], 41: [1.0], 42: [0.0]}
+    out = {r["vec_id"]: r["n_links"] for r in multi_index.near_vectors(spark.createDataFrame([(i, v, 1) for i, v in x.items()], "vec_id long, embedding array<double>, label int")).collect()}
+    assert out == {i: 9 if i < 30 else 4 if i < 40 else int(i < 42) for i in x}
+
+
 def test_queries_agree_with_their_operators(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
