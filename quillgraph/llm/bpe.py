@@ -199,7 +199,7 @@ class Bpe:
 
 def load(path: str) -> Bpe:
     """One instance for each worker and file."""
-    return held(("bpe", path), lambda: Bpe(path))
+    return held(("bpe", path), lambda: Bpe(path), 180)
 
 
 def bpe_encode(text: Column, path: str) -> Column:

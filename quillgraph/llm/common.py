@@ -2,34 +2,56 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where scratch tables go if the session names no spark.checkpoint.dir (tests, laptops).
+#: Where scratch tables go if a session on a local master names no spark.checkpoint.dir (tests, laptops).
 FALLBACK_DIR = "file:///tmp/checkpoints/quillgraph"
-
+#: What the tables that a Python worker remembers may take together, by the operators' own figures.
+HELD_MB = 200
 
 _held: dict = {}
+_made: list[str] = []
 
 
-def held(name, make):
-    """What a Python worker remembers for one operator, made on first use.
+def held(name, make, mb: int = 20):
+    """What a Python worker remembers for one operator, made on first use; ``mb`` is about the most it grows to.
 
-    Workers live on from stage to stage; another operator's tables go when this one's are made, so that the tables of a
-    chain of operators don't add up.
+    Workers live on from stage to stage. Operators that share a projection keep their tables side by side; the oldest
+    go when the sum would pass HELD_MB, and their memory goes back to the system.
     """
-    if name not in _held:
-        _held.clear()
-        _held[name] = make()
-    return _held[name]
+    found = _held.get(name)
+    if found is None:
+        if _held and sum(m for m, _ in _held.values()) + mb > HELD_MB:
+            while _held and sum(m for m, _ in _held.values()) + mb > HELD_MB:
+                del _held[next(iter(_held))]
+            release()
+        found = _held[name] = mb, make()
+    return found[1]
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system, where the allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; tables that cut lineage are written there."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = FALLBACK_DIR
     return f"{root.rstrip('/')}/quillgraph-{spark.sparkContext.applicationId}"
 
 
@@ -42,16 +64,28 @@ def materialise(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch = path
+    _made.append(path)
     return out
 
 
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialise(); only for tables that no later plan reads."""
-    spark, path = df.sparkSession, getattr(df, "_scratch", None)
-    if path:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+    if path := getattr(df, "_scratch", None):
+        _delete(df.sparkSession, path)
+
+
+def discard_others(*kept: DataFrame) -> None:
+    """Delete all tables made by materialise() in this process except ``kept``; only when no other plan reads them."""
+    keep = {getattr(df, "_scratch", None) for df in kept}
+    for path in [p for p in _made if p not in keep]:
+        _delete(kept[0].sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+    if path in _made:
+        _made.remove(path)
 
 
 def pieces(total: float, each: float, spark: SparkSession, least: float) -> int:
@@ -62,7 +96,7 @@ def pieces(total: float, each: float, spark: SparkSession, least: float) -> int:
     return max(1, math.ceil(total / each), min(2 * cores, math.ceil(total / least)))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph. ``edges`` has long columns ``u`` and ``v``.
 
     Alternates large-star and small-star until nothing changes, so the number of rounds grows with the
@@ -73,9 +107,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = materialise(e)
     state = _checksum(e)
-    for _ in range(max_rounds):
-        if not state[0]:
-            break
+    while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -87,8 +119,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

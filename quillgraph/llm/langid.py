@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quillgraph.llm.common import held
+from quillgraph.llm.common import discard, materialise
 
 #: Hash bins of the n-grams of one to three characters.
 BINS = 1 << 16
-#: The model is fitted on about this many labelled rows at most, chosen by a hash of the id.
+#: The model is fitted on about this many labelled rows at most, chosen by a hash of id and text.
 TRAIN_ROWS = 20_000
-#: A guard for the broadcast matrix (BINS x languages x 4 bytes).
-MOST_LANGUAGES = 512
+#: Languages scored at once: it bounds the matrix that is broadcast (BINS x languages x 4 bytes). More go in turns.
+TOGETHER = 256
 #: Characters scored in one step.
 STEP = 1 << 18
 UNKNOWN = "und"
@@ -35,37 +35,43 @@ def codes(text: str) -> np.ndarray:
     return np.concatenate(([0], c, [0])).astype(np.uint32)
 
 
-def grams(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bins of all n-grams that lie within one text, and the positions where they start."""
+def grams(c: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of all n-grams that lie within one text, and the positions where they start; only those before ``most``."""
     h1 = c * np.uint32(0x9E3779B1)
     two = (h1[:-1] ^ (c[1:] * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35)
     three = (two[:-1] ^ (c[2:] * np.uint32(0x27D4EB2F))) * np.uint32(0x165667B1)
     gap = (c[:-1] == 0) & (c[1:] == 0)
-    keep2 = np.flatnonzero(~gap)
-    keep3 = np.flatnonzero(~(gap[:-1] | gap[1:]) if len(gap) > 1 else np.empty(0, bool))
-    keep1 = np.flatnonzero(c != 0)
+    keep1 = np.flatnonzero(c[:most] != 0)
+    keep2 = np.flatnonzero(~gap[:most])
+    keep3 = np.flatnonzero(~(gap[:-1] | gap[1:])[:most] if len(gap) > 1 else np.empty(0, bool))
     at = np.concatenate((keep1, keep2, keep3))
     return np.concatenate((h1[keep1], two[keep2], three[keep3])) >> np.uint32(16), at
 
 
-def _steps(text: str):
-    """A long text in steps, so that memory is bounded; the two n-grams across a border of steps are left out."""
-    for at in range(0, max(len(text), 1), STEP):
-        yield text[at : at + STEP]
+def bins_in_steps(c: np.ndarray):
+    """The bins of all n-grams of one text, in steps that overlap by the two codes that an n-gram can reach ahead."""
+    for at in range(0, len(c), STEP):
+        yield grams(c[at : at + STEP + 2], STEP)[0]
 
 
 def _count(batches):
-    """Counts of n-grams by language over a partition, without the zeros."""
-    held("langid", dict)
+    """Counts of n-grams by language over a partition, without the zeros; passed on when there are many languages."""
     found: dict[str, np.ndarray] = {}
+
+    def counted():
+        for lang, n in found.items():
+            at = np.flatnonzero(n)
+            yield pd.DataFrame({"lang": lang, "bin": at.astype(np.int32), "n": n[at]})
+
     for p in batches:
         for lang, text in zip(p["lang"], p["text"]):
+            if lang not in found and len(found) == TOGETHER:
+                yield from counted()
+                found.clear()
             have = found.setdefault(lang, np.zeros(BINS, np.int64))
-            for part in _steps(text):
-                have += np.bincount(grams(codes(part))[0], minlength=BINS)
-    for lang, n in found.items():
-        at = np.flatnonzero(n)
-        yield pd.DataFrame({"lang": lang, "bin": at.astype(np.int32), "n": n[at]})
+            for bins in bins_in_steps(codes(text)):
+                have += np.bincount(bins, minlength=BINS)
+    yield from counted()
 
 
 class Model:
@@ -76,25 +82,26 @@ class Model:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", most_rows: int = TRAIN_ROWS) -> Model:
-    """Fit on the rows whose text and language are known, on a sample by id hash if there are more than ``most_rows``.
+    """Fit on the rows whose text and language are known, on a sample by a hash of id and text if there are more than ``most_rows``.
 
     Languages count as equally likely beforehand. Without such rows the model knows no language.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    n = rows.select("lang").count()
-    share = min(1.0, most_rows / max(1, n))
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    n = rows.count()
+    if n > most_rows:
+        rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 40)) < round(most_rows / n * (1 << 40)))
     counts = rows.select("lang", "text").mapInPandas(_count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    langs = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    table = np.zeros((BINS, len(langs)))
-    if langs:
-        found = counts.toPandas()
-        table[found["bin"].to_numpy(), np.searchsorted(langs, found["lang"].to_numpy(dtype=object))] = found["n"]
-    table += 0.5
-    return Model(langs, (np.log(table) - np.log(table.sum(axis=0))).astype(np.float32))
+    counts = materialise(counts)
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    logp = np.empty((BINS, len(langs)), np.float32)
+    for at in range(0, len(langs), TOGETHER):
+        some = langs[at : at + TOGETHER]
+        found = counts.where(F.col("lang").isin(some)).toPandas()
+        table = np.full((BINS, len(some)), 0.5)
+        table[found["bin"].to_numpy(), np.searchsorted(some, found["lang"].to_numpy(dtype=object))] += found["n"]
+        logp[:, at : at + TOGETHER] = np.log(table) - np.log(table.sum(axis=0))
+    discard(counts)
+    return Model(langs, logp)
 
 
 def score_batch(model: Model, texts: list[str]) -> np.ndarray:
@@ -104,57 +111,74 @@ def score_batch(model: Model, texts: list[str]) -> np.ndarray:
 
     def flush() -> None:
         if parts:
-            c = np.concatenate(parts)
-            bins, at = grams(c)
+            bins, at = grams(np.concatenate(parts))
             own = np.repeat(owner, [len(x) for x in parts])[at]
             for k in range(len(model.langs)):
                 out[:, k] += np.bincount(own, weights=model.logp[bins, k], minlength=len(texts))
 
     for i, text in enumerate(texts):
-        for part in _steps(text):
-            c = codes(part)
-            parts.append(c)
-            owner.append(i)
-            size += len(c)
-            if size >= STEP:
-                flush()
-                parts, owner, size = [], [], 0
+        c = codes(text)
+        if len(c) > STEP:
+            for bins in bins_in_steps(c):
+                n = np.bincount(bins, minlength=BINS)
+                at = np.flatnonzero(n)
+                out[i] += n[at] @ model.logp[at].astype(np.float64)
+            continue
+        parts.append(c)
+        owner.append(i)
+        size += len(c)
+        if size >= STEP:
+            flush()
+            parts, owner, size = [], [], 0
     flush()
     return out
 
 
-def predict(spark: SparkSession, model: Model, text: Column) -> Column:
-    """A struct of ``lang_pred`` and ``score`` (the posterior probability); ``und`` and 0 for null or letterless texts."""
+_KIND = StructType([StructField("lang", StringType()), StructField("top", DoubleType()), StructField("all", DoubleType())])
+
+
+def _best(spark: SparkSession, model: Model, text: Column) -> Column:
+    """Of the model's languages the likeliest, its log-likelihood, and the log of the sum of all; null for null or letterless texts."""
     shared = spark.sparkContext.broadcast((model.langs, model.logp))
-    kind = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        held("langid", dict)
         m = Model(*shared.value)
         values = texts.tolist()
-        best, score = [UNKNOWN] * len(values), np.zeros(len(values))
-        known = [i for i, x in enumerate(values) if x is not None and LETTER.search(x)] if m.langs else []
+        best, top, every = [None] * len(values), np.full(len(values), np.nan), np.full(len(values), np.nan)
+        known = [i for i, x in enumerate(values) if x is not None and LETTER.search(x)]
         for at in range(0, len(known), 256):
             rows = known[at : at + 256]
             s = score_batch(m, [values[i] for i in rows])
-            p = np.exp(s - s.max(axis=1, keepdims=True))
-            top = s.argmax(axis=1)
-            score[rows] = p[np.arange(len(rows)), top] / p.sum(axis=1)
-            for i, k in zip(rows, top.tolist()):
+            top[rows] = s.max(axis=1)
+            every[rows] = top[rows] + np.log(np.exp(s - top[rows][:, None]).sum(axis=1))
+            for i, k in zip(rows, s.argmax(axis=1).tolist()):
                 best[i] = m.langs[k]
-        return pd.DataFrame({"lang_pred": best, "score": score})
+        return pd.DataFrame({"lang": best, "top": top, "all": every})
 
-    return F.pandas_udf(run, kind)(text)
+    return F.pandas_udf(run, _KIND)(text)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
+    """``docs`` with ``lang_pred`` and ``score`` (the posterior probability); columns of these names are replaced.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text if the model knows no
-    language. Repeated rows stay; ties go to the first language in order; an empty table gives no rows.
+    language. Repeated rows stay; ties go to the first language in order; an empty table gives no rows. Texts of any
+    length count whole. Beyond TOGETHER languages the table is written once for each further set of them.
     """
-    marked = docs.withColumn("_quill_lang", predict(docs.sparkSession, model, F.col(text_col)))
-    return marked.withColumns({"lang_pred": F.col("_quill_lang.lang_pred"), "score": F.col("_quill_lang.score")}).drop("_quill_lang")
+    spark, found = docs.sparkSession, "_quill_lang"
+    marked = docs.withColumn(found, F.lit(None).cast(_KIND))
+    for at in range(0, len(model.langs), TOGETHER):
+        some = _best(spark, Model(model.langs[at : at + TOGETHER], model.logp[:, at : at + TOGETHER]), F.col(text_col))
+        if not at:
+            marked = docs.withColumn(found, some)
+            continue
+        marked = materialise(marked).withColumn("_quill_some", some)
+        both = """if(_quill_some.lang is null, _quill_lang, named_struct(
+            'lang', if(_quill_some.top > _quill_lang.top, _quill_some.lang, _quill_lang.lang), 'top', greatest(_quill_some.top, _quill_lang.top),
+            'all', greatest(_quill_some.all, _quill_lang.all) + ln(1 + exp(-abs(_quill_some.all - _quill_lang.all)))))"""
+        marked = marked.withColumn(found, F.expr(both)).drop("_quill_some")
+    score = F.when(F.col(f"{found}.lang").isNotNull(), F.least(F.lit(1.0), F.exp(F.col(f"{found}.top") - F.col(f"{found}.all")))).otherwise(0.0)
+    return marked.withColumns({"lang_pred": F.coalesce(f"{found}.lang", F.lit(UNKNOWN)), "score": score}).drop(found)
 
 
 def held_out(id_col: str, parts: int = 4, part: int = 2) -> Column:

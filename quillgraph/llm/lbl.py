@@ -1,224 +1,297 @@
 """Language-model scoring with a log-bilinear model trained by noise-contrastive estimation.
 
-The model predicts a class from the two tokens before: the commonest words and the end are classes of their own, other
-words share the class of their last letters. Within such a class a word is predicted from the token before: each word
-has a list of how often it followed which context state, a part of the hash of the word before. The lists grow with the
-distinct training words and the number of states with the square root of the training text. A pair not seen takes its
-share from the word's count over the whole training corpus. So every token has a normalised probability, known or not.
+The network's units are the commonest training words, as many as the cube root of the training text allows, so that the
+vocabulary grows with the corpus; classes of last letters, which stand for all other words; and the end of a text. A
+unit's probability after the two units before it is that of its class of units times its own within that class, both
+log-bilinear in one context vector. Within a class of last letters a word has its share of the training counts. So
+every token has a normalised probability, known or not.
+
+Counts are exact: documents are dealt into chunks, a chunk sends its distinct words with their training counts, packed
+by bucket of words, and a bucket adds them up word by word and answers each chunk with the totals, in the order sent.
 """
 
 from __future__ import annotations
 
-import copy
-import math
 import uuid
+import zlib
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import held, materialise, pieces
 from quillgraph.llm.langid import held_out
 
-TOP_WORDS = 256
-#: Classes of the other words, by a hash of their last letters; this is kept in the lowest bits of a word's hash.
-SUFFIXES = 128
+#: Words with a unit of their own: the cube root of the training text's bytes, times this. The network is
+#: broadcast: about 1 MB for 1 GB of text, 45 MB for 100 TB.
+WORDS_BY_ROOT = 4
+#: Classes of the other words, by a hash of their last letters.
+SUFFIXES = 256
 SUFFIX_BYTES = 3
 DIM = 32
-NOISE = 64
-BATCH = 4096
-RATE = 0.08
-#: Rows that the driver trains on before the executors train on everything.
-FIRST_ROWS = 1500
+NOISE = 24
+NOISE_IN_CLASS = 12
+BATCH = 8192
+RATE = 0.1
+#: Training text that the driver learns from first, in distinct documents of at most a sixteenth of it.
+FIRST_BYTES = 4 << 20
+#: Commonest words of that text, at most: their counts travel by place, not by name.
+HOT = 1 << 15
+SLAB = 4096
 CHUNK_BYTES = 12 << 20
-REMEMBER = 450_000
-#: Words that a counting task holds before it passes their counts on.
-MOST_COUNTED = 4_000_000
+#: Bytes of text whose distinct words meet in one bucket.
+BUCKET_BYTES = 16 << 20
+REMEMBER = 200_000
 TASKS_MERGED = 64
-#: Context states: a power of two of at least the square root of the training text's bytes by this.
-BYTES_ROOT_BY = 64
-#: Training text whose word counts are merged by one task.
-MERGE_BYTES = 8 << 20
+#: Parameters travel in parts of so many numbers.
+PART = 1 << 18
+STEP_TOKENS = 1 << 16
 
 
-class SuffixClasses(dict):
-    """The class of a word's last letters."""
+def split(text: str | None) -> list[bytes]:
+    """Words without ASCII white space, A to Z in lower case."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
-    def __missing__(self, suffix: bytes) -> int:
-        c = self[suffix] = xxhash.xxh3_64_intdigest(suffix) % SUFFIXES
-        if len(self) > REMEMBER:
-            self.clear()
-        return c
 
+def suffix(word: bytes) -> int:
+    return zlib.crc32(word[-SUFFIX_BYTES:]) % SUFFIXES
 
-class WordKeys(dict):
-    """A word's 64-bit key: a hash, with the class of its last letters in the lowest bits."""
 
-    def __init__(self):
-        self.suffixes = SuffixClasses()
-        self.tables: dict[str, np.ndarray] = {}
+class Index(dict):
+    """Numbers words in the order they are met."""
 
     def __missing__(self, word: bytes) -> int:
-        h = (xxhash.xxh3_64_intdigest(word) & ~(SUFFIXES - 1)) | self.suffixes[word[-SUFFIX_BYTES:]]
-        if len(self) < REMEMBER:
-            self[word] = h
-        return h
-
-
-def word_keys(text: str | None) -> np.ndarray:
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(held("lbl", WordKeys).__getitem__, w), np.uint64, len(w))
-
-
-def contexts(texts_keys: list[np.ndarray], states: int) -> tuple[np.ndarray, np.ndarray]:
-    """All words' keys and their context states, from the hash of the word before; before the first there is state 0."""
-    k = np.concatenate(texts_keys) if texts_keys else np.empty(0, np.uint64)
-    s = np.zeros(len(k), np.uint64)
-    s[1:] = (k[:-1] >> np.uint64(SUFFIXES.bit_length() - 1)) & np.uint64(states - 1)
-    starts = np.cumsum([0] + [len(x) for x in texts_keys])[:-1]
-    s[starts[starts < len(s)]] = 0
-    return k, s
+        n = self[word] = len(self)
+        return n
 
 
-def paired(k: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys and their counts; for each place in order of key its pair (rank of the key << 32 | state), and that order."""
-    order = np.argsort(k)
-    k = k[order]
-    first = np.concatenate(([True], k[1:] != k[:-1])) if len(k) else np.empty(0, bool)
-    begin = np.flatnonzero(first)
-    pair = (np.cumsum(first) - 1).astype(np.uint64) << np.uint64(32) | s[order]
-    return k[begin], np.diff(begin, append=len(k)), pair, order
+class ChunkWords:
+    """The distinct words of a chunk: the hot ones by place, then the others by hash, which also deals them into buckets."""
 
-
-def summed(pair: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs in order and how often each occurs, or the sum of their n."""
-    if n is None:
-        pair = np.sort(pair)
-    else:
-        order = np.argsort(pair)
-        pair, n = pair[order], n[order]
-    begin = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else np.empty(0, np.int64)
-    if n is None:
-        return pair[begin], np.diff(begin, append=len(pair))
-    return pair[begin], np.add.reduceat(n, begin) if len(begin) else n
+    def __init__(self, texts: list[str | None], hot: list[bytes], buckets: int):
+        index = Index(zip(hot, range(len(hot))))
+        parts = []
+        for t in texts:
+            w = split(t)
+            parts.append(np.fromiter(map(index.__getitem__, w), np.int32, len(w)))
+        self.size = np.array([len(p) for p in parts], np.int64)
+        self.tokens = np.concatenate(parts) if parts else np.empty(0, np.int32)
+        self.hot, self.words = len(hot), list(index)
+        rest = self.words[self.hot :]
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, rest), np.uint64, len(rest))
+        order = np.argsort(h, kind="stable")
+        for k in np.flatnonzero(h[order][1:] == h[order][:-1]).tolist():  # equal hashes go by word, however the chunk came
+            same = np.flatnonzero(h[order] == h[order[k]])
+            order[same] = sorted(order[same].tolist(), key=rest.__getitem__)
+        self.order, self.bucket = order, ((h[order] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _send(pdf: pd.DataFrame, hot, buckets: int) -> pd.DataFrame:
+    """A chunk's distinct words and their training counts: by bucket, and for the hot words by slab as bucket -1 - slab."""
+    c = ChunkWords(pdf["_text"].tolist(), hot.value, buckets)
+    n = np.bincount(c.tokens[np.repeat(pdf["_train"].to_numpy(bool), c.size)], minlength=len(c.words))
+    chunk, out = int(pdf["_chunk"].iloc[0]), []
+    for at in range(0, c.hot, SLAB):
+        slab = n[at : min(at + SLAB, c.hot)]
+        if slab.any():
+            out.append((-1 - at // SLAB, chunk, b"", slab.astype(np.uint32).tobytes()))
+    rest, n = c.words[c.hot :], n[c.hot :][c.order].astype(np.uint32)
+    ends = [0, *np.flatnonzero(np.diff(c.bucket)).tolist()]
+    cuts = [0, *(x + 1 for x in ends[1:]), len(rest)]
+    order = c.order.tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            out.append((int(c.bucket[a]), chunk, b" ".join([rest[i] for i in order[a:b]]), n[a:b].tobytes()))
+    return pd.DataFrame(out, columns=["bucket", "chunk", "words", "counts"])
+
+
+def _sum_hot(batches):
+    total: dict[int, np.ndarray] = {}
+    for p in batches:
+        for b, x in zip(p["bucket"].tolist(), p["counts"]):
+            n = np.frombuffer(x, np.uint32)
+            total[b] = total[b] + n if b in total else n.astype(np.int64)
+    for b, n in total.items():
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"at": (-1 - b) * SLAB + at, "n": n[at]})
+
+
+def _merge_words(pdf: pd.DataFrame, least: int) -> pd.DataFrame:
+    """A bucket's totals: for each chunk those of its words in order; once, the sums by class and the words with at least ``least``."""
+    index, places, total = Index(), [], np.zeros(1 << 12, np.int64)
+    for blob, counts in zip(pdf["words"], pdf["counts"]):
+        w = blob.split(b" ")
+        at = np.fromiter(map(index.__getitem__, w), np.int32, len(w))
+        if len(index) > len(total):
+            total = np.append(total, np.zeros(max(len(index) - len(total), len(total)), np.int64))
+        total[at] += np.frombuffer(counts, np.uint32)  # a chunk names a word once
+        places.append(at)
+    words, total = list(index), total[: len(index)]
+    known = np.flatnonzero(total)
+    c = np.fromiter((suffix(words[i]) for i in known.tolist()), np.int64, len(known))
+    n, v = np.bincount(c, weights=total[known], minlength=SUFFIXES), np.bincount(c, minlength=SUFFIXES)
+    sums = [{"c": int(k), "n": int(n[k]), "v": int(v[k])} for k in np.flatnonzero(v)]
+    top = [{"w": words[i], "n": int(total[i])} for i in np.flatnonzero(total >= least)]
+    out = pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "n": [total[at].tobytes() for at in places], "sums": None, "top": None}, dtype=object)
+    out.at[0, "sums"], out.at[0, "top"] = sums, top
+    return out
 
 
-def listed(pair: np.ndarray, values: np.ndarray, rows: int) -> list[bytes]:
-    """The values of each row's pairs."""
-    ends = np.cumsum(np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=rows)) * values.itemsize
-    blob, ends = values.tobytes(), [0, *ends.tolist()]
-    return [blob[a:b] for a, b in zip(ends, ends[1:])]
+class Vocabulary:
+    """Units by falling count, cut into classes of near equal sums of the counts' roots; one more stands before a text begins."""
+
+    def __init__(self, words: list[tuple[bytes, int]], suffix_n: np.ndarray, ends: int):
+        n = np.concatenate(([x for _, x in words], suffix_n, [ends])).astype(np.float64)
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(n), np.int32)
+        place[order] = np.arange(len(n))
+        self.words = dict(zip((w for w, _ in words), place.tolist()))
+        self.suffixes, self.end, self.size, self.n = place[len(words) : -1].tolist(), int(place[-1]), len(n), n[order]
+        self.rare = np.full(len(n), -1)
+        self.rare[self.suffixes] = np.arange(SUFFIXES)
+        root = np.cumsum(np.sqrt(self.n + 1))
+        cut = np.floor(root / root[-1] * max(1, round(np.sqrt(len(n)))) * (1 - 1e-12)).astype(np.int64)
+        self.class_of = np.unique(cut, return_inverse=True)[1].astype(np.int32)
+        self.begin = np.searchsorted(self.class_of, np.arange(self.class_of[-1] + 2))
+        self.name = uuid.uuid4().hex
 
+    def unit(self, word: bytes) -> int:
+        found = self.words.get(word)
+        return self.suffixes[suffix(word)] if found is None else found
+
+    def sequence(self, units: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each token's unit and the two before it; a text is led by two marks and closed by the end. size: words by text."""
+        ends = np.cumsum(size + 3)
+        s = np.full(int(ends[-1]) if len(ends) else 0, self.size, np.int32)
+        words = np.ones(len(s), bool)
+        words[ends - 1] = words[ends - size - 2] = words[ends - size - 3] = False
+        s[ends - 1], s[words] = self.end, units
+        words[ends - 1] = True
+        at = np.flatnonzero(words)
+        return s[at], s[at - 1], s[at - 2]
 
-def unlisted(column, kind) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all rows, and each value's row."""
-    values = np.frombuffer(b"".join(column), kind)
-    size = np.fromiter(map(len, column), np.int64, len(column)) // np.dtype(kind).itemsize
-    return values, np.repeat(np.arange(len(size)), size)
 
+class Units(dict):
+    """A word's unit, remembered for the first words seen."""
 
-class Vocabulary:
-    """Classes: suffix classes, then the commonest words, then the end; one more stands before a text begins."""
-
-    def __init__(self, top: list[int]):
-        self.top = np.sort(np.array(top, np.uint64))
-        self.end = SUFFIXES + len(top)
-        self.size = self.end + 1
-
-    def classes(self, keys: np.ndarray) -> np.ndarray:
-        out = (keys & np.uint64(SUFFIXES - 1)).astype(np.int16)
-        if len(self.top):
-            at = np.minimum(np.searchsorted(self.top, keys), len(self.top) - 1)
-            known = self.top[at] == keys
-            out[known] = SUFFIXES + at[known]
-        return out
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
 
-    def sequence(self, texts_keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each token's class and the two before it; a text is led by two marks and closed by the end."""
-        parts = []
-        lead, last = np.full(2, self.size, np.int16), np.array([self.end], np.int16)
-        for k in texts_keys:
-            parts += [lead, self.classes(k), last]
-        s = np.concatenate(parts) if parts else np.empty(0, np.int16)
-        at = np.flatnonzero(s != self.size)
-        return s[at], s[at - 1], s[at - 2]
+    def __missing__(self, word: bytes) -> int:
+        u = self.vocabulary.unit(word)
+        if len(self) < REMEMBER:
+            self[word] = u
+        return u
 
 
-def _add_rows(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
-    """total[index] += rows, with repeated indices; 16-bit indices sort by radix."""
+def _sum_rows(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct indices and the sums of their rows."""
     order = np.argsort(index, kind="stable")
     i = index[order]
     begin = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
-    total[i[begin]] += np.add.reduceat(rows.take(order, 0), begin, axis=0)
+    return i[begin], np.add.reduceat(rows.take(order, 0), begin, axis=0)
 
 
 class LogBilinear:
-    """score(w | a, b) = (r_a C1 + r_b C2) . q_w + bias_w"""
-
-    NAMES = ("r", "c1", "c2", "q", "bias")
-
-    def __init__(self, counts: np.ndarray, seed: int = 3):
-        size = len(counts)
-        rng = np.random.default_rng(seed)
-        self.noise = (counts + 1.0) / (counts + 1.0).sum()
-        self.r = rng.normal(0, 0.1, (size + 1, DIM)).astype(np.float32)
-        self.c1, self.c2 = np.eye(DIM, dtype=np.float32), np.eye(DIM, dtype=np.float32) * np.float32(0.5)
-        self.q = rng.normal(0, 0.1, (size, DIM)).astype(np.float32)
-        self.bias = np.log(self.noise).astype(np.float32)
-        self.squares = {n: np.full(getattr(self, n).shape, 0.1, np.float32) for n in self.NAMES}
+    """The context is c1 * r[a] + c2 * r[b] (diagonal matrices); a class scores ctx . qc + bc, a unit in its class ctx . q + bias."""
+
+    NAMES = ("r", "c1", "c2", "q", "bias", "qc", "bc")
+
+    def __init__(self, vocabulary: Vocabulary, seed: int = 3):
+        self.v, rng = vocabulary, np.random.default_rng(seed)
+        size, classes = vocabulary.size, len(vocabulary.begin) - 1
+        n = vocabulary.n + 1
+        by_class = np.add.reduceat(n, vocabulary.begin[:-1])
+        self.noise, self.noise_in = by_class / n.sum(), n / by_class[vocabulary.class_of]
+        normal = lambda rows: rng.normal(0, 0.1, (rows, DIM)).astype(np.float32)
+        self.r, self.q, self.qc = normal(size + 1), normal(size), normal(classes)
+        self.c1, self.c2 = np.ones(DIM, np.float32), np.full(DIM, 0.5, np.float32)
+        self.bias, self.bc = np.log(self.noise_in).astype(np.float32), np.log(self.noise).astype(np.float32)
+        self.reset()
+
+    def reset(self) -> None:
+        """Forget how far each parameter has been moved."""
+        self.squares = {n: np.full(getattr(self, n).shape, 1.0, np.float32) for n in self.NAMES}
+
+    def _move(self, name: str, rows, g: np.ndarray) -> None:
+        """An AdaGrad step up the gradient, on some rows of a parameter."""
+        at = self.squares[name][rows] + g * g
+        self.squares[name][rows] = at
+        getattr(self, name)[rows] += RATE * g / np.sqrt(at)
+
+    @staticmethod
+    def _contrast(ctx, qw, good, qd, offset):
+        """Gradients of telling tokens from shared noise. good: scores less log of noise, of the tokens; then its pull on each."""
+        good = 1 / (1 + np.exp(good))
+        bad = ctx @ qd.T
+        bad += offset
+        bad = -1 / (1 + np.exp(-bad))
+        d = bad @ qd
+        d += qw * good[:, None]
+        return good, bad, d
 
     def step(self, w: np.ndarray, a: np.ndarray, b: np.ndarray, rng: np.random.Generator) -> None:
-        """One AdaGrad step: tell the tokens from noise drawn by frequency and shared by the batch."""
-        draws = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, len(self.q) - 1).astype(np.int16)
-        n = np.float32(len(w))
-        qw, qd = self.q.take(w, 0), self.q.take(draws, 0)
-        # There are far fewer classes than tokens: the matrices meet sums by class only.
-        ctx = (self.r @ self.c1).take(a, 0)
-        ctx += (self.r @ self.c2).take(b, 0)
-        offset = self.bias - self.log_k
-        good = np.einsum("ij,ij->i", ctx, qw)
-        good += offset.take(w)
-        np.exp(good, out=good)
-        good += 1
-        np.divide(1 / n, good, out=good)
-        bad = ctx @ qd.T
-        bad += offset[draws]
-        np.negative(bad, out=bad)
-        np.exp(bad, out=bad)
-        bad += 1
-        np.divide(-1 / n, bad, out=bad)
-        d_ctx = bad @ qd
-        qw *= good[:, None]
-        d_ctx += qw
-        grads = {k: np.zeros_like(getattr(self, k)) for k in ("q", "bias")}
-        np.add.at(grads["q"], draws, (ctx.T @ bad).T)
-        np.add.at(grads["bias"], draws, bad.sum(0))
-        grads["bias"] += np.bincount(w, weights=good, minlength=len(self.q)).astype(np.float32)
-        ctx *= good[:, None]
-        _add_rows(grads["q"], w, ctx)
-        by_a, by_b = np.zeros_like(self.r), np.zeros_like(self.r)
-        _add_rows(by_a, a, d_ctx)
-        _add_rows(by_b, b, d_ctx)
-        grads["c1"], grads["c2"] = self.r.T @ by_a, self.r.T @ by_b
-        grads["r"] = by_a @ self.c1.T + by_b @ self.c2.T
-        for k, g in grads.items():
-            self.squares[k] += g * g * n
-            getattr(self, k)[...] += RATE * g * np.sqrt(n) / np.sqrt(self.squares[k])
+        """One step on a batch sorted by w: tell classes from noise drawn by frequency, and units from noise of their class."""
+        v = self.v
+        ra, rb = self.r.take(a, 0), self.r.take(b, 0)
+        ctx = ra * self.c1 + rb * self.c2
+        y = v.class_of.take(w)
+        draws = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, len(self.bc) - 1)
+        offset = self.bc - self.log_k
+        qw = self.qc.take(y, 0)
+        good, bad, d_ctx = self._contrast(ctx, qw, np.einsum("ij,ij->i", ctx, qw) + offset.take(y), self.qc[draws], offset[draws])
+        first = np.flatnonzero(np.concatenate(([True], y[1:] != y[:-1])))
+        ends = [*first[1:].tolist(), len(y)]
+        g, gb = np.zeros_like(self.qc), np.zeros_like(self.bc)
+        g[y[first]], gb[y[first]] = np.add.reduceat(ctx * good[:, None], first, axis=0), np.add.reduceat(good, first)
+        np.add.at(g, draws, bad.T @ ctx)
+        np.add.at(gb, draws, bad.sum(0))
+        self._move("qc", slice(None), g)
+        self._move("bc", slice(None), gb)
+        qw, pull = self.q.take(w, 0), np.empty(len(w), np.float32)
+        score = np.einsum("ij,ij->i", ctx, qw) + (self.bias - self.log_in).take(w)
+        units, grads, biases = [], [], []
+        for i, j in zip(first.tolist(), ends):
+            lo, hi = v.begin[y[i]], v.begin[y[i] + 1]
+            if hi - lo == 1:
+                pull[i:j] = 0
+                continue
+            low, high = self.sums_in[lo], self.sums_in[hi]
+            draw = (np.searchsorted(self.sums_in[1:], low + rng.random(NOISE_IN_CLASS) * (high - low), side="right")).clip(lo, hi - 1)
+            good, bad, d = self._contrast(ctx[i:j], qw[i:j], score[i:j], self.q[draw], (self.bias - self.log_in)[draw])
+            pull[i:j] = good
+            d_ctx[i:j] += d
+            units.append(draw)
+            grads.append(bad.T @ ctx[i:j])
+            biases.append(bad.sum(0))
+        begin = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+        units.append(w[begin])
+        grads.append(np.add.reduceat(ctx * pull[:, None], begin, axis=0))
+        biases.append(np.add.reduceat(pull, begin))
+        rows, g = _sum_rows(np.concatenate(units), np.column_stack((np.concatenate(grads), np.concatenate(biases))))
+        self._move("q", rows, g[:, :-1])
+        self._move("bias", rows, g[:, -1])
+        g1, g2 = np.einsum("ij,ij->j", d_ctx, ra), np.einsum("ij,ij->j", d_ctx, rb)
+        self._move("r", *_sum_rows(np.concatenate((a, b)), np.concatenate((d_ctx * self.c1, d_ctx * self.c2))))
+        self._move("c1", slice(None), g1)
+        self._move("c2", slice(None), g2)
 
     def train(self, w: np.ndarray, a: np.ndarray, b: np.ndarray, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
-        self.sums, self.log_k = np.cumsum(self.noise), np.log(NOISE * self.noise).astype(np.float32)
+        self.sums, self.sums_in = np.cumsum(self.noise), np.concatenate(([0], np.cumsum(self.noise_in)))
+        self.log_k, self.log_in = np.log(NOISE * self.noise).astype(np.float32), np.log(NOISE_IN_CLASS * self.noise_in).astype(np.float32)
         order = rng.permutation(len(w))
         for at in range(0, len(w), BATCH):
             i = order[at : at + BATCH]
+            i = i[np.argsort(w[i], kind="stable")]
             self.step(w[i], a[i], b[i], rng)
 
-    def pack(self) -> bytes:
-        return b"".join(getattr(self, n).astype(np.float32).tobytes() for n in self.NAMES)
+    def pack(self) -> np.ndarray:
+        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
 
     def unpack(self, flat: np.ndarray) -> None:
         at = 0
@@ -227,254 +300,216 @@ class LogBilinear:
             setattr(self, n, flat[at : at + have.size].reshape(have.shape).astype(np.float32))
             at += have.size
 
-    def normalisers(self) -> np.ndarray:
-        """log of the sum of exp(score) for each pair of context classes, by batched matrix products."""
-        a, b = self.r @ self.c1, self.r @ self.c2
-        out = np.empty((len(a), len(b)), np.float32)
-        for i in range(len(a)):
-            s = (a[i] + b) @ self.q.T + self.bias
+    @staticmethod
+    def _log_sum(s: np.ndarray) -> np.ndarray:
+        top = s.max() if s.size else 0
+        if top > 60 or s.size and s.max(axis=1).min() < -60:
             top = s.max(axis=1)
-            out[i] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+            return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return np.log(np.exp(s, out=s).sum(axis=1))
+
+    def log_probabilities(self, w: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Normalised log-probabilities by batched matrix products: of the class among classes, of the unit within its class."""
+        v, out = self.v, np.empty(len(w))
+        for at in range(0, len(w), STEP_TOKENS):
+            i = at + np.argsort(w[at : at + STEP_TOKENS], kind="stable")
+            u = w[i]
+            y = v.class_of.take(u)
+            ctx = self.r.take(a[i], 0) * self.c1
+            ctx += self.r.take(b[i], 0) * self.c2
+            s = ctx @ self.qc.T
+            s += self.bc
+            p = s[np.arange(len(y)), y] - self._log_sum(s)
+            first = np.flatnonzero(np.concatenate(([True], y[1:] != y[:-1])))
+            for j, k in zip(first.tolist(), [*first[1:].tolist(), len(y)]):
+                lo, hi = v.begin[y[j]], v.begin[y[j] + 1]
+                if hi - lo > 1:
+                    s = ctx[j:k] @ self.q[lo:hi].T
+                    s += self.bias[lo:hi]
+                    p[j:k] += s[np.arange(k - j), u[j:k] - lo] - self._log_sum(s)
+            out[i] = p
         return out
 
-    def log_probabilities(self, w: np.ndarray, a: np.ndarray, b: np.ndarray, z: np.ndarray) -> np.ndarray:
-        ra, rb = self.r @ self.c1, self.r @ self.c2
-        out = np.empty(len(w))
-        for at in range(0, len(w), 1 << 16):
-            i = slice(at, at + (1 << 16))
-            out[i] = np.einsum("ij,ij->i", ra.take(a[i], 0) + rb.take(b[i], 0), self.q.take(w[i], 0)) + self.bias[w[i]] - z[a[i], b[i]]
-        return out
-
-
-_LOW = np.uint64(2**32 - 1)
 
+def _train(batches, shared):
+    """Train the shared first network on a partition's texts; its parameters in parts, weighted by the tokens seen."""
+    model = shared.value.copied()
+    v, seen, waiting, n, seed = model.v, 0, [], 0, 17
+    known = held(("lbl", v.name), lambda: Units(v), 60)
 
-def _count(batches, states: int = 1):
-    """Counts of a partition's words and of the states before each (state << 32 | n), passed on every few million words."""
-
-    def counted() -> pd.DataFrame:
-        every, n, pair, _ = paired(*contexts(waiting, states))
-        pair, m = summed(pair)
-        return pd.DataFrame({"key": every.view(np.int64), "n": n, "before": listed(pair, (pair & _LOW) << np.uint64(32) | m.astype(np.uint64), len(every))})
-
-    waiting, n = [], 0
-    for p in batches:
-        for text in p["text"]:
-            waiting.append(word_keys(text))
-            n += len(waiting[-1])
-            if n >= MOST_COUNTED:
-                yield counted()
-                waiting, n = [], 0
-    yield counted()
-
-
-def _merge_counts(pdf: pd.DataFrame) -> pd.DataFrame:
-    every, back = np.unique(pdf["key"].to_numpy(np.int64), return_inverse=True)
-    n = np.zeros(len(every), np.int64)
-    np.add.at(n, back, pdf["n"].to_numpy(np.int64))
-    values, row = unlisted(pdf["before"], np.uint64)
-    pair, m = summed(back[row].astype(np.uint64) << np.uint64(32) | values >> np.uint64(32), values & _LOW)
-    return pd.DataFrame({"key": every, "n": n, "before": listed(pair, (pair & _LOW) << np.uint64(32) | m, len(every))})
-
-
-def _totals(batches, top: np.ndarray, states: int):
-    """For each class and state the words seen and the distinct ones, without the commonest words; as -1, pairs seen once and twice."""
-    n, v, once, twice = np.zeros(SUFFIXES * states, np.int64), np.zeros(SUFFIXES * states, np.int64), 0, 0
-    for p in batches:
-        p = p[~np.isin(p["key"].to_numpy(np.int64).view(np.uint64), top)]
-        values, row = unlisted(p["before"], np.uint64)
-        suffix = p["key"].to_numpy(np.int64) & (SUFFIXES - 1)
-        at, m = suffix[row] * states + (values >> np.uint64(32)).astype(np.int64), (values & _LOW).astype(np.int64)
-        np.add.at(n, at, m)
-        np.add.at(v, at, 1)
-        once, twice = once + int((m == 1).sum()), twice + int((m == 2).sum())
-    have = np.flatnonzero(v)
-    yield pd.DataFrame({"at": np.append(have, -1), "n": np.append(n[have], once), "v": np.append(v[have], twice)})
-
+    def go() -> None:
+        model.train(*v.sequence(np.concatenate(waiting), np.array([len(x) for x in waiting])), seed=seed)
 
-def _train(batches, shared):
-    """Train the shared first model on a partition's texts; its parameters, weighted by the tokens seen."""
-    vocabulary, model = shared.value[0], copy.deepcopy(shared.value[1])  # a worker keeps the shared one for its next task
-    seen, waiting, size, seed = 0, [], 0, 17
     for p in batches:
-        for text in p["text"]:
-            waiting.append(word_keys(text))
-            size += len(waiting[-1]) + 1
-            if size >= 500_000:
-                model.train(*vocabulary.sequence(waiting), seed=seed)
-                seen, waiting, size, seed = seen + size, [], 0, seed + 1
+        for text in p["_text"]:
+            w = split(text)
+            waiting.append(np.fromiter(map(known.__getitem__, w), np.int32, len(w)))
+            n += len(w) + 1
+            if n >= 400_000:
+                go()
+                seen, waiting, n, seed = seen + n, [], 0, seed + 1
     if waiting:
-        model.train(*vocabulary.sequence(waiting), seed=seed)
-        seen += size
+        go()
+        seen += n
     if seen:
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % TASKS_MERGED], "n": [float(seen)], "flat": [model.pack()]})
+        flat, task = model.pack(), TaskContext.get().partitionId()
+        for k in range(0, len(flat), PART):
+            yield pd.DataFrame({"part": [k // PART], "task": [task], "n": [float(seen)], "flat": [flat[k : k + PART].tobytes()]})
 
 
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("task")  # the order of the sum decides its last bits
     total = pdf["n"].sum()
-    flat = sum(np.frombuffer(x, np.float32) * np.float32(n / total) for x, n in zip(pdf["flat"], pdf["n"]))
-    return pd.DataFrame({"part": [0], "n": [total], "flat": [flat.astype(np.float32).tobytes()]})
-
-
-class Scorer:
-    """Everything scoring needs besides the words' counts: classes, their counts by context state, and the network."""
+    flat = sum(np.frombuffer(x, np.float32) * (n / total) for x, n in zip(pdf["flat"], pdf["n"]))
+    return pd.DataFrame({"part": pdf["part"].iloc[:1], "task": pdf["task"].iloc[:1], "n": [total], "flat": [flat.astype(np.float32).tobytes()]})
 
-    def __init__(self, vocabulary, model, class_n, class_v, n, v, ends, states, pair_n, pair_v, discount):
-        self.vocabulary, self.model, self.class_n, self.class_v, self.n, self.v, self.ends = vocabulary, model, class_n, class_v, n, v, ends
-        self.states, self.pair_n, self.pair_v, self.discount = states, pair_n, pair_v, discount
-        self.name = uuid.uuid4().hex
-
-    def pairs(self, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys, each place's pair in order of key, that order, and each place's key and state; a class of its own needs no state."""
-        k, s = contexts(keys, self.states)
-        s[np.isin(k, self.vocabulary.top)] = 0
-        every, _, pair, order = paired(k, s)
-        return every, pair, order, k, s
-
-    def within(self, c: np.ndarray, s: np.ndarray, count: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        """Probability of words in their class: absolute discounting of what followed a state, the rest by the words' counts."""
-        share = (count + 1) / (self.class_n[c] + self.class_v[c] + 1)
-        n, v = self.pair_n[c * self.states + s], self.pair_v[c * self.states + s]
-        return np.where(n > 0, (np.maximum(seen - self.discount, 0) + self.discount * v * share) / np.maximum(n, 1), share)
 
+class Shared(LogBilinear):
+    """What tasks start from: workers keep it for their next task, so each trains on a copy."""
 
-def _normalisers(s: Scorer) -> np.ndarray:
-    tables = held("lbl", WordKeys).tables
-    if s.name not in tables:
-        tables.clear()
-        tables[s.name] = s.model.normalisers()
-    return tables[s.name]
+    def __init__(self, model: LogBilinear):
+        self.__dict__ = {k: x for k, x in model.__dict__.items() if k != "squares"}
 
+    def copied(self) -> LogBilinear:
+        model = object.__new__(LogBilinear)
+        model.__dict__ = self.__dict__ | {n: getattr(self, n).copy() for n in self.NAMES}
+        model.reset()
+        return model
 
-def _ask(pdf: pd.DataFrame, shared) -> pd.DataFrame:
-    every, pair, *_ = shared.value.pairs([word_keys(t) for t in pdf["_text"]])
-    pair = summed(pair)[0]
-    return pd.DataFrame({"_chunk": pdf["_chunk"].iloc[0], "key": every.view(np.int64), "asked": listed(pair, (pair & _LOW).astype(np.uint32), len(every))})
 
+class Scorer:
+    """What scoring needs besides the words' counts: the network, the shares of classes of last letters, counts of hot words, totals."""
 
-def _pick(batches):
-    """Of each word's states the counts that a chunk asked for."""
-    for p in batches:
-        states, row = unlisted(p["asked"], np.uint32)
-        want = row.astype(np.uint64) << np.uint64(32) | states
-        values, row = unlisted(p["before"], np.uint64)
-        have = np.append(row.astype(np.uint64) << np.uint64(32) | values >> np.uint64(32), ~np.uint64(0))
-        at = np.searchsorted(have, want)
-        found = np.where(have[at] == want, np.append(values & _LOW, np.uint64(0))[at], 0).astype(np.uint32)
-        yield pd.DataFrame({"_chunk": p["_chunk"], "key": p["key"], "n": p["n"], "found": listed(want, found, len(p))})
+    def __init__(self, model: Shared | None, hot: list[bytes], hot_n: np.ndarray, suffix_n: np.ndarray, suffix_v: np.ndarray, n: int, v: int, ends: int):
+        self.model, self.hot, self.hot_n, self.n, self.v, self.ends = model, hot, hot_n, n, v, ends
+        self.rest = np.log10(suffix_n + suffix_v + 1)  # of each class of last letters: its words, and one for the unknown
 
 
-def _score(docs: pd.DataFrame, known: pd.DataFrame, shared) -> pd.DataFrame:
+def _score(docs: pd.DataFrame, known: pd.DataFrame, shared, buckets: int) -> pd.DataFrame:
     s: Scorer = shared.value
     names = ["_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     if not len(docs):
         return pd.DataFrame(columns=names)
-    keys = [word_keys(t) for t in docs["_text"]]
-    size = np.array([len(k) + 1 for k in keys])
-    every, pair, order, k, state = s.pairs(keys)
-    c = np.zeros(len(every), np.int64)
-    have = np.searchsorted(every, known["key"].to_numpy(np.int64).view(np.uint64))
-    c[have] = known["n"]
-    ends = np.cumsum(size) - 1
-    count = np.full(int(size.sum()), s.ends, np.int64)
-    word = np.ones(len(count), bool)
+    c = ChunkWords(docs["_text"].tolist(), s.hot, buckets)
+    known = known.sort_values("bucket")
+    sent = np.frombuffer(b"".join(known["n"]), np.int64)
+    if len(sent) != len(c.order):
+        raise RuntimeError("the documents of a chunk changed between two readings of the input")
+    n = np.concatenate((s.hot_n, np.empty(len(c.order), np.int64)))
+    n[c.hot + c.order] = sent
+    ends = np.cumsum(c.size + 1) - 1
+    word = np.ones(len(c.tokens) + len(ends), bool)
     word[ends] = False
-    rank = (pair >> np.uint64(32)).astype(np.int64)
-    of_word = np.empty(len(k), np.int64)
-    of_word[order] = c[rank]
-    count[word] = of_word
-    begin = ends - size + 1
-    base = np.log10((count + 1) / (s.n + s.v + 1))
-    if s.model is None:
-        score = base
-    else:
-        w, a, b = s.vocabulary.sequence(keys)
-        score = s.model.log_probabilities(w, a, b, _normalisers(s)) / np.log(10)
-        pairs, back = np.unique(pair, return_inverse=True)
-        followed, asked = np.zeros(len(pairs), np.int64), np.zeros(len(every), bool)
-        asked[have] = True
-        followed[asked[(pairs >> np.uint64(32)).astype(np.int64)]] = np.frombuffer(b"".join(known["found"].iloc[np.argsort(have)]), np.uint32)
-        seen, before = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
-        of_word[order] = followed[back]
-        seen[word], before[word] = of_word, state.astype(np.int64)
-        rare = w < SUFFIXES
-        score[rare] += np.log10(s.within(w[rare].astype(np.int64), before[rare], count[rare], seen[rare]))
-    return pd.DataFrame({"_id": docs["_id"], "n_tokens": size, "n_known": np.add.reduceat((count > 0).astype(np.int64), begin), "train_tokens": s.n, "base_score": np.add.reduceat(base, begin), "score": np.add.reduceat(score, begin)})[names]
-
-
-def fit_lbl(train: DataFrame, text_col: str = "text", id_col: str = "doc_id", top_words: int = TOP_WORDS) -> tuple[Scorer, DataFrame]:
-    """Count all words of ``train`` with the states before them, and train the network on all its tokens.
-
-    The driver trains first on about FIRST_ROWS rows; from there each task trains on its own rows and the networks are
-    averaged by tokens, in groups. Returns what scoring needs and the table of counts (key, n, before).
+    count = np.full(len(word), s.ends, np.int64)
+    count[word] = n.take(c.tokens)
+    begin = ends - c.size
+    of_count = np.log10(np.arange(1, 1025))
+    logs = np.where(count < 1024, of_count.take(np.minimum(count, 1023)), np.log10(count + 1.0))
+    score = base = logs - np.log10(s.n + s.v + 1)
+    if s.model is not None:
+        v = s.model.v
+        units = np.fromiter(map(v.unit, c.words), np.int32, len(c.words))
+        w, a, b = v.sequence(units.take(c.tokens), c.size)
+        score = s.model.log_probabilities(w, a, b) / np.log(10)
+        suffixes = v.rare.take(w)
+        rare = np.flatnonzero(suffixes >= 0)
+        score[rare] += logs[rare] - s.rest.take(suffixes[rare])
+    return pd.DataFrame({"_id": docs["_id"], "n_tokens": c.size + 1, "n_known": np.add.reduceat((count > 0).astype(np.int64), begin), "train_tokens": s.n, "base_score": np.add.reduceat(base, begin), "score": np.add.reduceat(score, begin)})[names]
+
+
+def _first_texts(base: DataFrame, size: int) -> list[str]:
+    """Training texts of about FIRST_BYTES, by a hash of id and text, each text once and in order of the hash."""
+    share = max(1, round(min(1.0, FIRST_BYTES / max(1, size)) * (1 << 40)))
+    rows = base.where(F.col("_train") & (F.octet_length("_text") <= FIRST_BYTES // 16)).select(F.xxhash64("_id", "_text").alias("h"), F.col("_text").alias("t"))
+    rows = rows.where(F.pmod("h", F.lit(1 << 40)) < share).groupBy("h").agg(F.first("t").alias("t"))
+    so_far = rows.selectExpr("h", "t", "sum(octet_length(t)) over (order by h) as upto")
+    return [r["t"] for r in so_far.where(F.col("upto") <= 4 * FIRST_BYTES).orderBy("h").select("t").collect()]
+
+
+def fit_lbl(base: DataFrame, size: int, rows: int, words: DataFrame, hot: list[bytes], first: list[str], most_words: int) -> Scorer:
+    """The scorer for the counts of ``words`` (from _merge_words) and the hot words, with the network trained on all training texts.
+
+    The driver trains first on ``first``; from there each task trains on its own rows and the networks are averaged by
+    tokens, in two levels of groups.
     """
-    spark = train.sparkSession
-    texts = train.select(F.col(text_col).alias("text"))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    states = 1 << math.ceil(math.log2(max(16, math.sqrt(size) / BYTES_ROOT_BY)))
-    kind = "key long, n long, before binary"
-    parts = F.pmod(F.xxhash64("key"), F.lit(pieces(size, MERGE_BYTES, spark, 512 << 10)))
-    counts = materialise(texts.mapInPandas(partial(_count, states=states), kind).groupBy(parts).applyInPandas(_merge_counts, kind))
-    rows = train.select(id_col).count()
-    top = [(r["key"] & (2**64 - 1), r["n"]) for r in counts.orderBy(F.desc("n"), "key").limit(top_words).collect()]
-    vocabulary = Vocabulary([k for k, _ in top])
-    class_n, class_v = np.zeros(vocabulary.size, np.int64), np.zeros(vocabulary.size, np.int64)
-    for r in counts.groupBy(F.col("key").bitwiseAND(F.lit(SUFFIXES - 1)).alias("s")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        class_n[r["s"]], class_v[r["s"]] = r["n"], r["v"]
-    n, v = int(class_n.sum()) + rows, int(class_v.sum()) + (rows > 0)
-    for k, c in top:
-        class_n[k & (SUFFIXES - 1)] -= c
-        class_v[k & (SUFFIXES - 1)] -= 1
-        class_n[SUFFIXES + int(np.searchsorted(vocabulary.top, np.uint64(k)))] = c
-    class_n[vocabulary.end] = rows
-    pair_n, pair_v, once, twice = np.zeros(SUFFIXES * states, np.int64), np.zeros(SUFFIXES * states, np.int64), 0, 0
-    totals = counts.select("key", "before").mapInPandas(partial(_totals, top=vocabulary.top, states=states), "at long, n long, v long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    for r in totals.collect():
-        if r["at"] < 0:
-            once, twice = r["n"], r["v"]
-        else:
-            pair_n[r["at"]], pair_v[r["at"]] = r["n"], r["v"]
-    # The usual estimate from the pairs seen once and twice.
-    states = (states, pair_n, pair_v, once / (once + 2 * twice) if twice else 0.75)
+    spark = base.sparkSession
+    hot_n, words = np.zeros(len(hot), np.int64), dict(words)
+    for r in words["hot"].groupBy("at").agg(F.sum("n").alias("n")).collect():
+        hot_n[r["at"]] = r["n"]
+    suffix_n, suffix_v = np.zeros(SUFFIXES, np.int64), np.zeros(SUFFIXES, np.int64)
+    for r in words["rest"].select(F.explode("sums").alias("s")).groupBy("s.c").agg(F.sum("s.n").alias("n"), F.sum("s.v").alias("v")).collect():
+        suffix_n[r["c"]], suffix_v[r["c"]] = r["n"], r["v"]
+    for w, x in zip(hot, hot_n.tolist()):
+        suffix_n[suffix(w)] += x
+        suffix_v[suffix(w)] += x > 0
+    n, v = int(suffix_n.sum()) + rows, int(suffix_v.sum()) + (rows > 0)
     if not rows:
-        return Scorer(vocabulary, None, class_n, class_v, n, v, rows, *states), counts
-    model = LogBilinear(class_n)
-    share = min(1.0, FIRST_ROWS / rows)
-    first = train if share == 1 else train.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
-    keys = [word_keys(t) for t in first.select(F.col(text_col).alias("text")).toPandas()["text"]] if rows else []
+        return Scorer(None, hot, hot_n, suffix_n, suffix_v, n, v, rows)
+    found = words["rest"].select(F.explode("top").alias("t")).select(F.col("t.w").alias("w"), F.col("t.n").alias("n")).orderBy(F.desc("n"), "w").limit(most_words).collect()
+    top = [(bytes(r["w"]), r["n"]) for r in found] + [(w, x) for w, x in zip(hot, hot_n.tolist()) if x > 1]
+    top = sorted(top, key=lambda x: (-x[1], x[0]))[:most_words]
+    for w, x in top:
+        suffix_n[suffix(w)] -= x
+        suffix_v[suffix(w)] -= 1
+    model = LogBilinear(Vocabulary(top, suffix_n, rows))
+    known = Units(model.v)
+    units = [np.fromiter(map(known.__getitem__, w), np.int32, len(w)) for w in map(split, first)]
     for epoch in range(2):
-        if keys:
-            model.train(*vocabulary.sequence(keys), seed=epoch)
-    shared = spark.sparkContext.broadcast((vocabulary, model))
-    kind = "part int, n double, flat binary"
-    trained = texts.mapInPandas(partial(_train, shared=shared), kind).groupBy("part").applyInPandas(_merge, kind).collect()
-    total = sum(r["n"] for r in trained)
-    if total:
-        model.unpack(sum(np.frombuffer(r["flat"], np.float32) * np.float32(r["n"] / total) for r in trained))
-    return Scorer(vocabulary, model, class_n, class_v, n, v, rows, *states), counts
-
-
-def score_lbl(docs: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Score whole texts: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
-
-    Documents are dealt into chunks; each asks for the counts of its distinct words and pairs only. Null and empty texts are
-    the end token alone; repeated rows and null ids are scored like any other; if nothing was learned the score is
-    the base score; an empty table gives no rows; other columns are ignored.
+        if units:
+            model.train(*model.v.sequence(np.concatenate(units), np.array([len(u) for u in units])), seed=epoch)
+    shared = spark.sparkContext.broadcast(Shared(model))
+    texts = base.where("_train").select("_text")
+    # A task's text outweighs its parameters, else these would be most of what moves.
+    at_most = max(1, size // (64 * len(model.pack()) * 4))
+    if texts.rdd.getNumPartitions() > max(at_most, 4 * spark.sparkContext.defaultParallelism):
+        texts = texts.coalesce(max(at_most, 4 * spark.sparkContext.defaultParallelism))
+    kind = "part int, task int, n double, flat binary"
+    trained = texts.mapInPandas(partial(_train, shared=shared), kind)
+    trained = trained.groupBy("part", (F.col("task") / TASKS_MERGED).cast("int")).applyInPandas(_merge, kind)
+    trained = sorted(trained.groupBy("part").applyInPandas(_merge, kind).collect(), key=lambda r: r["part"])
+    if trained:
+        model.unpack(np.concatenate([np.frombuffer(r["flat"], np.float32) for r in trained]))
+    return Scorer(Shared(model), hot, hot_n, suffix_n, suffix_v, n, v, rows)
+
+
+def lbl_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", most_words: int | None = None) -> DataFrame:
+    """Learn from the rows where ``train`` holds and score all whole texts of ``docs``.
+
+    Returns a row for each input row: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (log10, by
+    counts alone) and ``score`` (log10, by the network). ``most_words`` sets the words with a unit of their own; by default
+    their number grows with the cube root of the training text.
+
+    Null and empty texts are the end token alone; a null ``train`` is false; repeated rows and null ids are learned from
+    and scored like any other; if nothing was learned the score is the base score; an empty table gives no rows;
+    other columns are ignored. Rows equal in id and text share a chunk. ``docs`` must give the same rows each time it is read.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    size = base.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    chunks = pieces(size, CHUNK_BYTES, spark, 512 << 10)
-    base = base.withColumn("_chunk", F.pmod(F.xxhash64("_id", F.octet_length("_text")), F.lit(chunks)).cast("int"))
-    shared = spark.sparkContext.broadcast(scorer)
-    asked = base.groupBy("_chunk").applyInPandas(partial(_ask, shared=shared), "_chunk int, key long, asked binary")
-    known = asked.join(counts, "key").mapInPandas(_pick, "_chunk int, key long, n long, found binary")
-    out = base.groupBy("_chunk").cogroup(known.groupBy("_chunk")).applyInPandas(partial(_score, shared=shared), "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
+    length = F.coalesce(F.octet_length("_text"), F.lit(0))
+    size, learned, rows = (x or 0 for x in base.agg(F.sum(length), F.sum(F.when(F.col("_train"), length)), F.count_if("_train")).first())
+    if most_words is None:
+        most_words = round(WORDS_BY_ROOT * learned ** (1 / 3))
+    first = _first_texts(base, learned) if rows else []
+    counts = Index()
+    n = np.bincount(np.fromiter((counts[w] for t in first for w in split(t)), np.int64), minlength=1)
+    names = list(counts)
+    hot = sorted(names[i] for i in sorted(np.flatnonzero(n > 1).tolist(), key=lambda i: (-n[i], names[i]))[:HOT])
+    chunks, buckets = pieces(size, CHUNK_BYTES, spark, 512 << 10), pieces(size, BUCKET_BYTES, spark, 2 << 20)
+    dealt = base.withColumn("_chunk", F.pmod(F.xxhash64("_id", F.octet_length("_text")), F.lit(chunks)).cast("int"))
+    sent = dealt.groupBy("_chunk").applyInPandas(partial(_send, hot=spark.sparkContext.broadcast(hot), buckets=buckets), "bucket int, chunk int, words binary, counts binary")
+    sent = materialise(sent)
+    # At least so often that no more than 64 times as many words as wanted come up, by the pigeonhole principle.
+    least = max(2, learned // (7 * 64 * max(1, most_words)))
+    kind = "chunk int, bucket int, n binary, sums array<struct<c:int,n:long,v:long>>, top array<struct<w:binary,n:long>>"
+    answers = materialise(sent.where("bucket >= 0").groupBy("bucket").applyInPandas(partial(_merge_words, least=least), kind))
+    words = {"hot": sent.where("bucket < 0").select("bucket", "counts").mapInPandas(_sum_hot, "at long, n long"), "rest": answers}
+    shared = spark.sparkContext.broadcast(fit_lbl(base, learned, rows, words, hot, first, most_words))
+    known = answers.select(F.col("chunk").alias("_chunk"), "bucket", "n")
+    score = partial(_score, shared=shared, buckets=buckets)
+    out = dealt.groupBy("_chunk").cogroup(known.groupBy("_chunk")).applyInPandas(score, "_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("_id", "doc_id")
 
 
 def op8_lbl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scorer, counts = fit_lbl(docs.where(~held_out("doc_id", 7)))
-    out = score_lbl(docs, scorer, counts)
-    return out.withColumn("held_out", held_out("doc_id", 7))
+    return lbl_scores(docs, ~held_out("doc_id", 7)).withColumn("held_out", held_out("doc_id", 7))

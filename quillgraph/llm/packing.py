@@ -20,7 +20,7 @@ GROUP_ROWS = 4096
 #: The id that ends each document.
 END = 2
 #: Words whose ids a worker remembers.
-REMEMBER = 1_000_000
+REMEMBER = 600_000
 HOT = 20_000
 #: Texts whose unknown words are looked up together.
 TOGETHER = 128
@@ -93,7 +93,7 @@ class WordIds:
 
 def load(path: str) -> WordIds:
     """One instance for each worker and file."""
-    return held(("packing", path), lambda: WordIds(path))
+    return held(("packing", path), lambda: WordIds(path), 160)
 
 
 class Bins:

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from quillgraph.llm.common import held, pieces
 
 #: Text bytes of a chunk, and window hashes of a bucket; both bound what one task holds.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_WINDOWS = 2_000_000
 #: Odd bases of the two rolling hashes modulo 2**64, and their inverses.
 BASE = 0x9E3779B97F4A7C15
 BASE2 = 0xD1342543DE82EF95
 #: Distinct words whose hash a worker remembers.
-REMEMBER = 300_000
+REMEMBER = 200_000
 
 
 class WordHashes(dict):
@@ -71,7 +71,7 @@ class Chunk:
         self.ends = np.cumsum(size)
         total = int(self.ends[-1]) if len(size) else 0
         h = np.empty(total, np.uint64)
-        at, hashes = 0, held("substring", WordHashes)
+        at, hashes = 0, held("substring", WordHashes, 60)
         for w in self.words:
             h[at : at + len(w)] = np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w))
             at += len(w)

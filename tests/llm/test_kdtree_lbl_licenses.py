@@ -83,75 +83,119 @@ def test_base_score_and_normalisation(spark):
     assert better / len(docs) > 0.8
 
 
-def test_class_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    m = lbl.LogBilinear(rng.integers(1, 50, 20).astype(float))
-    m.train(*(rng.integers(0, 20, 5000).astype(np.int16) for _ in range(3)))
-    z = m.normalisers()
-    every = np.arange(20, dtype=np.int16)
-    for a, b in ((0, 3), (20, 20), (5, 20)):
-        p = np.exp(m.log_probabilities(every, np.full(20, a, np.int16), np.full(20, b, np.int16), z))
+def vocabulary(n=40):
+    rng = np.random.default_rng(1)
+    return lbl.Vocabulary([(b"w%d" % i, int(x)) for i, x in enumerate(np.sort(rng.integers(5, 500, n))[::-1])], rng.integers(0, 9, lbl.SUFFIXES), 30)
+
+
+def test_probabilities_of_all_units_sum_to_one():
+    rng, v = np.random.default_rng(0), vocabulary()
+    m = lbl.LogBilinear(v)
+    m.train(*(rng.integers(0, v.size, 20_000).astype(np.int32) for _ in range(3)))
+    every = np.arange(v.size, dtype=np.int32)
+    for a, b in ((0, 3), (v.size, v.size), (5, v.size)):
+        p = np.exp(m.log_probabilities(every, np.full(v.size, a, np.int32), np.full(v.size, b, np.int32)))
         assert abs(p.sum() - 1) < 1e-4
+    m.bias[:] *= 40  # scores beyond what exp() takes
+    p = np.exp(m.log_probabilities(every, every, every))
+    assert np.isfinite(p).all() and (p <= 1 + 1e-5).all()
 
 
 def test_training_learns_what_follows_what():
+    v = vocabulary()
     rng = np.random.default_rng(0)
-    w = (np.arange(40_000) % 10).astype(np.int16)
+    w = (np.arange(60_000) % 10).astype(np.int32)
     flip = rng.random(len(w)) < 0.1
     w[flip] = rng.integers(0, 10, flip.sum())
-    m = lbl.LogBilinear(np.bincount(w, minlength=11).astype(float))
+    m = lbl.LogBilinear(v)
+    before = m.log_probabilities(w[2:], w[1:-1], w[:-2]).mean()
     for seed in range(6):
         m.train(w[2:], w[1:-1], w[:-2], seed)
-    assert m.log_probabilities(w[2:], w[1:-1], w[:-2], m.normalisers()).mean() > math.log(1 / 10) + 0.5
+    assert m.log_probabilities(w[2:], w[1:-1], w[:-2]).mean() > max(before, math.log(1 / 10)) + 1
+
+
+def test_sequences_are_led_and_closed():
+    v = vocabulary()
+    w, a, b = v.sequence(np.array([4, 5, 6], np.int32), np.array([0, 2, 0, 1]))
+    s = v.size
+    assert w.tolist() == [v.end, 4, 5, v.end, v.end, 6, v.end]
+    assert a.tolist() == [s, s, 4, 5, s, s, 6] and b.tolist() == [s, s, s, 4, s, s, s]
+
+
+def test_score_by_brute_force(spark):
+    """Every token's probability by the network's parameters, one by one; the words and the unknown of a class sum to one."""
+    docs = [(i, " ".join(random.Random(i).choice(["alpha", "beta", "gamma", "deltas", "omegas", "x"]) for _ in range(50)) + f" r{i}ing q{i}ing") for i in range(60)]
+    got = {}
+    keep = lbl.Scorer.__init__
+
+    def spy(self, *a):
+        keep(self, *a)
+        got["s"] = self
+
+    lbl.Scorer.__init__ = spy
+    try:
+        out = {r["doc_id"]: r for r in lbl.lbl_scores(table(spark, docs), F.col("doc_id") < 50, most_words=5).collect()}
+    finally:
+        lbl.Scorer.__init__ = keep
+    m, v = got["s"].model, got["s"].model.v
+    count = collections.Counter(w for i, t in docs if i < 50 for w in t.split())
+    assert len(v.words) == 5
+    rest = collections.Counter()
+    for w, n in count.items():
+        if w.encode() not in v.words:
+            rest[lbl.suffix(w.encode())] += n + 1
+    for i, t in docs:
+        units = [v.size, v.size, *(v.unit(w.encode()) for w in t.split()), v.end]
+        want = 0.0
+        for k, w in zip(range(2, len(units)), [*t.split(), None]):
+            ctx = m.r[units[k - 1]] * m.c1 + m.r[units[k - 2]] * m.c2
+            y = v.class_of[units[k]]
+            s = np.exp(m.qc @ ctx + m.bc)
+            inside = np.arange(v.begin[y], v.begin[y + 1])
+            z = np.exp(m.q[inside] @ ctx + m.bias[inside])
+            want += math.log10(s[y] / s.sum()) + math.log10(z[units[k] - v.begin[y]] / z.sum())
+            if w is not None and w.encode() not in v.words:
+                want += math.log10((count[w] + 1) / (rest[lbl.suffix(w.encode())] + 1))
+        assert out[i]["score"] == pytest.approx(want, rel=1e-4)
 
 
 def test_lbl_edges(spark):
     docs = table(spark, [(1, None), (1, ""), (None, "A b"), (2, "a B c")])
-    scorer, counts = lbl.fit_lbl(docs)
-    out = lbl.score_lbl(docs, scorer, counts).collect()
+    out = lbl.lbl_scores(docs, F.lit(True)).collect()
     assert sorted(r["n_tokens"] for r in out) == [1, 1, 3, 4] and all(r["train_tokens"] == 9 and r["score"] <= 0 for r in out)
-    scorer, counts = lbl.fit_lbl(docs.limit(0))
-    out = lbl.score_lbl(docs, scorer, counts).collect()
+    out = lbl.lbl_scores(docs, F.lit(None).cast("boolean")).collect()
     assert all(r["score"] == r["base_score"] and r["n_known"] == 0 for r in out)
-    assert lbl.score_lbl(docs.limit(0), scorer, counts).count() == 0
-
-
-def test_rare_words_of_one_class_are_told_apart_by_the_word_before(spark):
-    """Swapping two rare words with the same last letters: all class terms and counts stay, the order of words does not."""
-    pairs = [(f"left{i}", f"w{i}xing") for i in range(40)]
-    train = [(i, " ".join(w for p in pairs for w in p)) for i in range(20)]
-    scorer, counts = lbl.fit_lbl(table(spark, train), top_words=0)
-    right = " ".join(w for p in pairs for w in p)
-    swapped = " ".join(w for p in zip([a for a, _ in pairs], [b for _, b in pairs[1:] + pairs[:1]]) for w in p)
-    got = {r["doc_id"]: r for r in lbl.score_lbl(table(spark, [(1, right), (2, swapped)]), scorer, counts).collect()}
-    assert got[1]["base_score"] == pytest.approx(got[2]["base_score"]) and got[1]["score"] > got[2]["score"] + 5
-
-
-def test_words_of_a_class_sum_to_one_after_each_state(spark):
-    rng = random.Random(5)
-    docs = [(i, " ".join(f"{rng.choice('abcdef')}{rng.randint(0, 30)}ing" for _ in range(60))) for i in range(30)]
-    scorer, counts = lbl.fit_lbl(table(spark, docs), top_words=3)
-    rows = [(r["key"] & (2**64 - 1), r["n"], dict(zip(*np.divmod(np.frombuffer(r["before"], np.uint64), np.uint64(2**32))))) for r in counts.collect()]
-    assert sum(sum(map(int, b.values())) for _, _, b in rows) == sum(n for _, n, _ in rows) == 30 * 60
-    rare = [(n, b) for k, n, b in rows if k not in set(scorer.vocabulary.top.tolist())]
-    c = {k & (lbl.SUFFIXES - 1) for k, _, _ in rows}.pop()
-    for s in range(scorer.states):
-        p = scorer.within(np.full(len(rare) + 1, c), np.full(len(rare) + 1, s), np.array([n for n, _ in rare] + [0]), np.array([int(b.get(s, 0)) for _, b in rare] + [0]))
-        assert p.sum() == pytest.approx(1)
-
-
-def test_counts_are_passed_on_when_many(spark, monkeypatch):
-    frames = list(lbl._count(iter([docs_frame()])))
-    total = collections.Counter()
-    for f in frames:
-        total.update(dict(zip(f["key"], f["n"])))
-    assert sum(total.values()) == 6
-
-
-def docs_frame():
-    import pandas as pd
-
-    return pd.DataFrame({"text": ["a b a", None, "", "c a b"]})
+    assert lbl.lbl_scores(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_repeated_rows_and_a_long_text(spark):
+    docs = [(7, "same old words here")] * 3000 + [(8, "long " * 300_000), (9, None)]
+    out = lbl.lbl_scores(table(spark, docs), F.lit(True)).collect()
+    assert len(out) == len(docs) and {r["train_tokens"] for r in out} == {3000 * 5 + 300_001 + 1}
+    assert len({round(r["score"], 9) for r in out if r["doc_id"] == 7}) == 1
+
+
+def test_the_vocabulary_grows_with_the_corpus(spark):
+    sizes = []
+    for n in (100, 2700):
+        docs = [(i, " ".join(f"w{random.Random(i * 50 + k).randint(0, 5000)}" for k in range(50))) for i in range(n)]
+        seen = []
+        keep = lbl.Vocabulary.__init__
+        lbl.Vocabulary.__init__ = lambda self, words, *a: (seen.append(len(words)), keep(self, words, *a))[1]
+        try:
+            lbl.lbl_scores(table(spark, docs), F.lit(True)).count()
+        finally:
+            lbl.Vocabulary.__init__ = keep
+        sizes.append(seen[0])
+    assert 2.5 < sizes[1] / sizes[0] < 3.5
+
+
+def test_words_with_equal_hashes_stay_apart(spark, monkeypatch):
+    """Counts go by words, not by hashes."""
+    monkeypatch.setattr(lbl.xxhash, "xxh3_64_intdigest", lambda w: 7)
+    c = lbl.ChunkWords(["b a c a", "d"], [], 4)
+    again = lbl.ChunkWords(["d", "c a b a"], [], 4)
+    assert [c.words[i] for i in c.order] == [again.words[i] for i in again.order] == [b"a", b"b", b"c", b"d"]
 
 
 TEMPLATES = licenses.TEMPLATES
