@@ -45,6 +45,11 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def quoted(name: str) -> str:
+    """A column name that stands for itself, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; tables that cut lineage are written there."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -74,11 +79,15 @@ def discard(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
-def discard_others(*kept: DataFrame) -> None:
-    """Delete all tables made by materialise() in this process except ``kept``; only when no other plan reads them."""
-    keep = {getattr(df, "_scratch", None) for df in kept}
-    for path in [p for p in _made if p not in keep]:
-        _delete(kept[0].sparkSession, path)
+def made_so_far() -> set[str]:
+    """The tables of materialise() that this process has made and not deleted."""
+    return set(_made)
+
+
+def discard_others(df: DataFrame, before: set[str]) -> None:
+    """Delete the tables made since ``before``, except ``df``'s; only when no other plan reads them."""
+    for path in [p for p in _made if p not in before and p != getattr(df, "_scratch", None)]:
+        _delete(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -1,7 +1,7 @@
 """Sharding: a K-d tree over document metadata, cut at distributed weighted medians. DataFrame operations only.
 
-Rows with equal texts form one unit with one set of coordinates, so they go to one shard; only a unit too large for
-shards of near equal size is dealt out by id into several. A level of the tree is cut at once: histograms of the
+Rows with equal texts form one unit with one set of coordinates, so they go to one shard; only a unit larger than a
+whole shard is dealt out by id into several. A level of the tree is cut at once: histograms of the
 bytes along the widest dimension of each node, refined until one value is left, then by a hash among rows that tie.
 """
 
@@ -18,10 +18,8 @@ SHARDS = 16
 #: Bars of a histogram and times it is refined, by value and then among ties.
 BARS = 1024
 REFINE = 3
-#: A unit of equal texts stays whole up to this share of a shard's bytes.
-WHOLE = 1 / 16
-#: Parts by hash of a unit's rows, dealt among the shards if the unit is large.
-PARTS = 512
+#: A unit of equal texts larger than a shard is dealt out in parts of about this share of a shard's bytes.
+PART = 1 / 16
 #: Rows numbered in one task.
 SLOT_ROWS = 200_000
 DIMENSIONS = ("x0", "x1", "x2", "x3")
@@ -83,9 +81,11 @@ def _split(units: DataFrame, nodes: int) -> DataFrame:
     return units.withColumn("node", F.col("node") * 2 + F.when(right, 1).otherwise(0)).drop("at")
 
 
-def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", tags: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", tags: tuple[str, ...] = ("source", "lang"), target_bytes: int | None = None) -> DataFrame:
     """Put all rows into ``shards`` shards (a power of two) of near equal bytes, under the law ``bytes``.
 
+    With ``target_bytes`` nodes are split until the shards reach that size or less on average, whatever ``shards`` says.
+
     Returns a row for each input row: ``doc_id``, ``size`` (UTF-8 bytes of the text, plus 1), ``text_crc32``,
     ``shard``, and ``slot`` (gapless from 0 in each shard, by id within blocks). Dimensions are the logarithm of the
     size, the smallest id of the equal texts, and hashes of that row's ``tags``.
@@ -109,11 +109,13 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", tex
     )
     rows = materialise(rows)
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
-    most = max(1.0, (total or 0) / shards * WHOLE)
+    if target_bytes:
+        shards = 1 << math.ceil(math.log2(max(1.0, (total or 0) / target_bytes)))
+    shard = max(1.0, (total or 0) / shards)
     key = ["text_crc32", "hash", "size"]
     groups = rows.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "t0", "t1")).alias("first"))
-    groups = materialise(groups.withColumn("parts", F.ceil(F.col("n") * F.col("size") / F.lit(most)).cast("int")))  # written, so that joins on it can split a hot unit
-    sub = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))
+    groups = materialise(groups.withColumn("parts", F.when(F.col("n") * F.col("size") > shard, F.ceil(F.col("n") * F.col("size") / F.lit(shard * PART))).otherwise(1).cast("int")))  # written, so that joins on it can split a hot unit
+    sub = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64 * shards))  # four for each part of the largest unit
     part = sub % F.col("parts")
     # Only units that are dealt out need counts by part. They are summed by part of a hash before they meet their unit,
     # so a unit with a third of all rows is a few hundred rows there.
@@ -135,17 +137,19 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", tex
         nodes *= 2
     placed = units.select(*key, "part", F.col("node").alias("shard"))
     out = rows.join(groups.select(*key, "parts"), key).withColumn("part", F.when(F.col("parts") > 1, part).otherwise(0).cast("long"))
-    out = materialise(out.join(placed, [*key, "part"]).select("doc_id", "size", "text_crc32", "hash", "shard"))
+    out = materialise(out.join(placed, [*key, "part"]).select("doc_id", "size", "text_crc32", "hash", "shard", F.monotonically_increasing_id().alias("row")))
     return _slots(out, count)
 
 
 def _slots(rows: DataFrame, count: int) -> DataFrame:
-    """Number each shard's rows from 0: by block of a hash, then by id, with the sizes of earlier blocks added."""
+    """Number each shard's rows from 0: by block of a hash, then by id, with the sizes of earlier blocks added.
+
+    ``row`` was written with the rows, so equal rows go to different blocks, and the same ones each time."""
     blocks = pieces(count, SLOT_ROWS, rows.sparkSession, 2000)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(blocks)))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "hash", "row"), F.lit(blocks)))
     sizes = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = sizes.selectExpr("shard", "block", "coalesce(sum(n) over (partition by shard order by block rows between unbounded preceding and 1 preceding), 0) as before")
-    ranked = rows.selectExpr("*", "row_number() over (partition by shard, block order by doc_id, hash) - 1 as place")
+    ranked = rows.selectExpr("*", "row_number() over (partition by shard, block order by doc_id, hash, row) - 1 as place")
     return ranked.join(before, ["shard", "block"]).select("doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("place")).cast("long").alias("slot"))
 
 

@@ -158,6 +158,24 @@ def _best(spark: SparkSession, model: Model, text: Column) -> Column:
     return F.pandas_udf(run, _KIND)(text)
 
 
+def tell(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with a struct ``out`` of ``lang`` and ``score``; all other columns stay. See identify()."""
+    spark, found, some = docs.sparkSession, out, f"{out}_some"
+    marked = docs.withColumn(found, F.lit(None).cast(_KIND))
+    for at in range(0, len(model.langs), TOGETHER):
+        best = _best(spark, Model(model.langs[at : at + TOGETHER], model.logp[:, at : at + TOGETHER]), F.col(text_col))
+        if not at:
+            marked = docs.withColumn(found, best)
+            continue
+        marked = materialise(marked).withColumn(some, best)
+        both = f"""if({some}.lang is null, {found}, named_struct(
+            'lang', if({some}.top > {found}.top, {some}.lang, {found}.lang), 'top', greatest({some}.top, {found}.top),
+            'all', greatest({some}.all, {found}.all) + ln(1 + exp(-abs({some}.all - {found}.all)))))"""
+        marked = marked.withColumn(found, F.expr(both)).drop(some)
+    score = F.when(F.col(f"{found}.lang").isNotNull(), F.least(F.lit(1.0), F.exp(F.col(f"{found}.top") - F.col(f"{found}.all")))).otherwise(0.0)
+    return marked.withColumn(found, F.struct(F.coalesce(f"{found}.lang", F.lit(UNKNOWN)).alias("lang"), score.alias("score")))
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the posterior probability); columns of these names are replaced.
 
@@ -165,20 +183,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     language. Repeated rows stay; ties go to the first language in order; an empty table gives no rows. Texts of any
     length count whole. Beyond TOGETHER languages the table is written once for each further set of them.
     """
-    spark, found = docs.sparkSession, "_quill_lang"
-    marked = docs.withColumn(found, F.lit(None).cast(_KIND))
-    for at in range(0, len(model.langs), TOGETHER):
-        some = _best(spark, Model(model.langs[at : at + TOGETHER], model.logp[:, at : at + TOGETHER]), F.col(text_col))
-        if not at:
-            marked = docs.withColumn(found, some)
-            continue
-        marked = materialise(marked).withColumn("_quill_some", some)
-        both = """if(_quill_some.lang is null, _quill_lang, named_struct(
-            'lang', if(_quill_some.top > _quill_lang.top, _quill_some.lang, _quill_lang.lang), 'top', greatest(_quill_some.top, _quill_lang.top),
-            'all', greatest(_quill_some.all, _quill_lang.all) + ln(1 + exp(-abs(_quill_some.all - _quill_lang.all)))))"""
-        marked = marked.withColumn(found, F.expr(both)).drop("_quill_some")
-    score = F.when(F.col(f"{found}.lang").isNotNull(), F.least(F.lit(1.0), F.exp(F.col(f"{found}.top") - F.col(f"{found}.all")))).otherwise(0.0)
-    return marked.withColumns({"lang_pred": F.coalesce(f"{found}.lang", F.lit(UNKNOWN)), "score": score}).drop(found)
+    told = tell(docs, model, "_quill_lang", text_col)
+    return told.withColumns({"lang_pred": F.col("_quill_lang.lang"), "score": F.col("_quill_lang.score")}).drop("_quill_lang")
 
 
 def held_out(id_col: str, parts: int = 4, part: int = 2) -> Column:

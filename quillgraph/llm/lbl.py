@@ -188,9 +188,14 @@ class Units(dict):
         return u
 
 
-def _sum_rows(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct indices and the sums of their rows."""
-    order = np.argsort(index, kind="stable")
+def _order(index: np.ndarray, most: int) -> np.ndarray:
+    """A stable order of indices below ``most``; 16-bit numbers sort by radix."""
+    return np.argsort(index.astype(np.uint16) if most <= 1 << 16 else index, kind="stable")
+
+
+def _sum_rows(index: np.ndarray, rows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct indices below ``most`` and the sums of their rows."""
+    order = _order(index, most)
     i = index[order]
     begin = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
     return i[begin], np.add.reduceat(rows.take(order, 0), begin, axis=0)
@@ -227,9 +232,11 @@ class LogBilinear:
     def _contrast(ctx, qw, good, qd, offset):
         """Gradients of telling tokens from shared noise. good: scores less log of noise, of the tokens; then its pull on each."""
         good = 1 / (1 + np.exp(good))
-        bad = ctx @ qd.T
-        bad += offset
-        bad = -1 / (1 + np.exp(-bad))
+        bad = ctx @ -qd.T
+        bad -= offset
+        np.exp(bad, out=bad)
+        bad += 1
+        np.divide(-1, bad, out=bad)
         d = bad @ qd
         d += qw * good[:, None]
         return good, bad, d
@@ -272,11 +279,11 @@ class LogBilinear:
         units.append(w[begin])
         grads.append(np.add.reduceat(ctx * pull[:, None], begin, axis=0))
         biases.append(np.add.reduceat(pull, begin))
-        rows, g = _sum_rows(np.concatenate(units), np.column_stack((np.concatenate(grads), np.concatenate(biases))))
+        rows, g = _sum_rows(np.concatenate(units), np.column_stack((np.concatenate(grads), np.concatenate(biases))), v.size)
         self._move("q", rows, g[:, :-1])
         self._move("bias", rows, g[:, -1])
         g1, g2 = np.einsum("ij,ij->j", d_ctx, ra), np.einsum("ij,ij->j", d_ctx, rb)
-        self._move("r", *_sum_rows(np.concatenate((a, b)), np.concatenate((d_ctx * self.c1, d_ctx * self.c2))))
+        self._move("r", *_sum_rows(np.concatenate((a, b)), np.concatenate((d_ctx * self.c1, d_ctx * self.c2)), v.size + 1))
         self._move("c1", slice(None), g1)
         self._move("c2", slice(None), g2)
 
@@ -287,7 +294,7 @@ class LogBilinear:
         order = rng.permutation(len(w))
         for at in range(0, len(w), BATCH):
             i = order[at : at + BATCH]
-            i = i[np.argsort(w[i], kind="stable")]
+            i = i[_order(w[i], self.v.size)]
             self.step(w[i], a[i], b[i], rng)
 
     def pack(self) -> np.ndarray:
@@ -312,7 +319,7 @@ class LogBilinear:
         """Normalised log-probabilities by batched matrix products: of the class among classes, of the unit within its class."""
         v, out = self.v, np.empty(len(w))
         for at in range(0, len(w), STEP_TOKENS):
-            i = at + np.argsort(w[at : at + STEP_TOKENS], kind="stable")
+            i = at + _order(w[at : at + STEP_TOKENS], v.size)
             u = w[i]
             y = v.class_of.take(u)
             ctx = self.r.take(a[i], 0) * self.c1
@@ -460,9 +467,9 @@ def fit_lbl(base: DataFrame, size: int, rows: int, words: DataFrame, hot: list[b
     shared = spark.sparkContext.broadcast(Shared(model))
     texts = base.where("_train").select("_text")
     # A task's text outweighs its parameters, else these would be most of what moves.
-    at_most = max(1, size // (64 * len(model.pack()) * 4))
-    if texts.rdd.getNumPartitions() > max(at_most, 4 * spark.sparkContext.defaultParallelism):
-        texts = texts.coalesce(max(at_most, 4 * spark.sparkContext.defaultParallelism))
+    at_most = max(1, size // (16 * len(model.pack()) * 4))
+    if texts.rdd.getNumPartitions() > max(at_most, 8 * spark.sparkContext.defaultParallelism):
+        texts = texts.coalesce(max(at_most, 8 * spark.sparkContext.defaultParallelism))
     kind = "part int, task int, n double, flat binary"
     trained = texts.mapInPandas(partial(_train, shared=shared), kind)
     trained = trained.groupBy("part", (F.col("task") / TASKS_MERGED).cast("int")).applyInPandas(_merge, kind)

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from quillgraph.llm.common import held
 
 SEQUENCE = 4096
-#: Documents of a group; more leave less padding, fewer are quicker.
+#: Pieces of a group, by an estimate of four bytes an id; more leave less padding, fewer are quicker.
 GROUP_ROWS = 4096
+ID_BYTES = 4
 #: The id that ends each document.
 END = 2
-#: Words whose ids a worker remembers.
-REMEMBER = 600_000
+#: Words whose ids a worker remembers: less time against some 190 bytes each.
+REMEMBER = 1_000_000
 HOT = 20_000
 #: Texts whose unknown words are looked up together.
 TOGETHER = 128
@@ -31,7 +32,8 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 class WordIds:
     """Packed ids of a text, word by word: the tokenizer drops white space and joins nothing across it."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = REMEMBER):
+        self.remember = remember
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -83,7 +85,7 @@ class WordIds:
                 out[i] = b"".join([new[w] if x is None else x for w, x in zip(words, ids)])
             if len(self.hot) < HOT:
                 self.hot.update(new)
-            elif len(self.words) < REMEMBER:
+            elif len(self.words) < self.remember:
                 self.words.update(new)
         return out
 
@@ -91,9 +93,9 @@ class WordIds:
         return self.encode_all([text])[0]
 
 
-def load(path: str) -> WordIds:
+def load(path: str, remember: int = REMEMBER) -> WordIds:
     """One instance for each worker and file."""
-    return held(("packing", path), lambda: WordIds(path), 160)
+    return held(("packing", path, remember), lambda: WordIds(path, remember), 40 + remember // 6000)
 
 
 class Bins:
@@ -129,46 +131,54 @@ def first_fit_decreasing(lengths: list[int], size: int) -> tuple[list[int], list
     return where, offset
 
 
-def _cut(batches, path: str, size: int, keep_ids: bool):
-    """Pieces of each document: whole sequences, then the rest."""
+def _cut(batches, path: str, size: int, keep_ids: bool, remember: int):
+    """Pieces of each document: whole sequences, then the rest. ``copy`` numbers equal rows, so that these part."""
+    copies: dict[int, int] = {}
     for p in batches:
         rows = []
         texts = p["text"].tolist()
-        encoded = (x for at in range(0, len(texts), TOGETHER) for x in load(path).encode_all(texts[at : at + TOGETHER]))
+        encoded = (x for at in range(0, len(texts), TOGETHER) for x in load(path, remember).encode_all(texts[at : at + TOGETHER]))
         for doc, ids in zip(p["doc_id"].astype(object).where(p["doc_id"].notna(), None), encoded):
             ids += np.uint32(END).tobytes()
             n = len(ids) // 4
-            for at in range(0, n, size):
-                piece = ids[4 * at : 4 * (at + size)]
-                rows.append((doc, at, len(piece) // 4, zlib.crc32(piece), n, piece if keep_ids else None))
-        yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]).astype({"doc_id": "Int64"})
+            pieces = [ids[4 * at : 4 * (at + size)] for at in range(0, n, size)]
+            check = [zlib.crc32(x) for x in pieces]
+            row = hash((doc, *check))
+            copy = copies[row] = copies.get(row, -1) + 1
+            rows += [(doc, size * k, len(x) // 4, c, n, copy, x if keep_ids else None) for k, (x, c) in enumerate(zip(pieces, check))]
+        yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy", "ids"]).astype({"doc_id": "Int64"})
 
 
 def _pack(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
+    """Full pieces are sequences by themselves; the others go through the tree."""
     pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable", ignore_index=True)
-    where, offset = first_fit_decreasing(pdf["length"].tolist(), size)
-    fill = pdf["length"].groupby(np.array(where)).transform("sum")
+    length = pdf["length"].to_numpy()
+    full = int((length == size).sum())
+    where, offset = first_fit_decreasing(length[full:].tolist(), size)
+    where = np.concatenate((np.arange(full), full + np.array(where, np.int64)))
+    fill = pdf["length"].groupby(where).transform("sum")
     padded = np.where(fill & (fill - 1), size, fill)
-    return pdf.assign(sequence_id=pdf["group"].astype("int64") * (1 << 32) + np.array(where, np.int64), offset=offset, sequence_tokens=fill, sequence_length=padded).drop(columns="group")
+    return pdf.assign(sequence_id=pdf["group"].astype("int64") * (1 << 32) + where, offset=np.concatenate((np.zeros(full, np.int64), np.array(offset, np.int64))), sequence_tokens=fill, sequence_length=padded).drop(columns="group")
 
 
-def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, group_rows: int = GROUP_ROWS, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, group_rows: int = GROUP_ROWS, keep_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """Pack the ids of all texts, each followed by the end id, into sequences of at most ``size`` ids.
 
     A document longer than a sequence gives full pieces and a rest; pieces meet in random groups of about
-    ``group_rows`` documents, each packed by itself. Returns a row for each piece: ``doc_id``, ``start`` and
+    ``group_rows`` pieces, each packed by itself. Returns a row for each piece: ``doc_id``, ``start`` and
     ``length`` in the document's ids, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``,
     ``sequence_tokens`` (the sequence's ids), ``sequence_length`` (padded to ``size``, except at a power of two) and
-    ``ids`` (packed; null unless ``keep_ids``).
+    ``ids`` (packed; null unless ``keep_ids``). ``remember`` bounds the words whose ids a worker keeps.
 
-    Null and empty texts are the end id alone. Repeated rows and rows with a null id are packed like any other; ties
-    in length go by id and start; an empty table gives no rows; other columns are ignored.
+    Null and empty texts are the end id alone. Repeated rows and rows with a null id are packed like any other, and equal
+    rows spread over the groups; ties in length go by id and start; an empty table gives no rows; other columns are ignored.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    groups = max(1, round(docs.select(id_col).count() / group_rows))
+    rows, size_bytes = base.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    groups = max(1, round((rows + (size_bytes or 0) / (ID_BYTES * size)) / group_rows))
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    cut = base.mapInPandas(partial(_cut, path=path, size=size, keep_ids=keep_ids), f"{kinds}, ids binary")
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("int"))
+    cut = base.mapInPandas(partial(_cut, path=path, size=size, keep_ids=keep_ids, remember=remember), f"{kinds}, copy long, ids binary")
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "copy"), F.lit(groups)).cast("int")).drop("copy")
     return dealt.groupBy("group").applyInPandas(partial(_pack, size=size), f"{kinds}, sequence_id long, offset long, sequence_tokens long, sequence_length long, ids binary")
 
 

@@ -70,31 +70,22 @@ def _near(x: np.ndarray, start: int) -> np.ndarray:
 
 def _forest(fp: np.ndarray, node: np.ndarray, side: np.ndarray | None, start: int) -> list[tuple[int, int]]:
     """Links among one key's fingerprints, thinned to a spanning forest; across two blocks if side is given."""
-    n = len(fp)
-    parent = list(range(n))
-
-    def find(a: int) -> int:
-        while parent[a] != a:
-            parent[a] = parent[parent[a]]
-            a = parent[a]
-        return a
-
-    out = []
-    for a in range(n - 1):
+    group, out = np.arange(len(fp)), []
+    for a in range(len(fp) - 1):
         near = _near(fp[a + 1 :] ^ fp[a], start)
         if side is not None:
             near &= side[a + 1 :] != side[a]
-        for b in (np.flatnonzero(near) + a + 1).tolist():
-            ra, rb = find(a), find(b)
-            if ra != rb:
-                parent[rb] = ra
-                out.append((int(node[a]), int(node[b])))
+        met = np.unique(group[a + 1 :][near])
+        met = met[met != group[a]]
+        if len(met):
+            out += [(int(node[a]), int(node[b])) for b in met]
+            group[np.isin(group, met)] = group[a]
     return out
 
 
 def _link(batches):
     """Links of keys that arrive sorted; the last key of a batch waits for the next batch."""
-    held: pd.DataFrame | None = None
+    rest: pd.DataFrame | None = None
     columns = ["key", "lo", "hi", "block", "fp", "node"]
 
     def links(p: pd.DataFrame) -> pd.DataFrame:
@@ -121,17 +112,17 @@ def _link(batches):
         return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
 
     for p in batches:
-        p = p[columns] if held is None else pd.concat([held, p[columns]], ignore_index=True)
+        p = p[columns] if rest is None else pd.concat([rest, p[columns]], ignore_index=True)
         if not len(p):
             continue
         last = p.iloc[-1]
         same = ((p["key"] == last["key"]) & (p["lo"] == last["lo"]) & (p["hi"] == last["hi"])).to_numpy()
         at = int(np.argmax(same))
-        held = p.iloc[at:]
+        rest = p.iloc[at:]
         if at:
             yield links(p.iloc[:at])
-    if held is not None and len(held):
-        yield links(held)
+    if rest is not None and len(rest):
+        yield links(rest)
 
 
 def near_links(prints: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import held, pieces
+from quillgraph.llm.common import held, pieces, quoted
 
 #: Text bytes of a chunk, and window hashes of a bucket; both bound what one task holds.
 CHUNK_BYTES = 2 << 20
@@ -173,7 +173,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for each input row: ``doc_id``, ``n_words``, ``n_removed``, ``starts`` and ``ends`` (the maximal removed
     intervals, in words, half open) and ``kept_text`` (the kept words joined by one space; with ``untouched`` a text that
     loses nothing stays as it is, white space included); ``carry`` names further
-    outputs and the input columns they come from.
+    outputs, other than these, and the input columns they come from.
 
     Null and empty texts have no words and an empty kept text. A row with a null id keeps all its words and removes
     none elsewhere. Rows that repeat an id count as one document, so they do not remove each other's words. Repeats
@@ -181,7 +181,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     carry = carry or {}
-    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry.values())])
+    if clash := {c.lower() for c in carry} & {"doc_id", "n_words", "n_removed", "starts", "ends", "kept_text"}:
+        raise ValueError(f"carried columns can't be named {sorted(clash)}")
+    base = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *[F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(carry.values())])
     size = base.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     chunks = pieces(size, CHUNK_BYTES, spark, 256 << 10)
     buckets = pieces(size / 6, BUCKET_WINDOWS, spark, 50_000)

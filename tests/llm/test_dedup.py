@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
@@ -205,7 +206,7 @@ def brute_links(x, label, threshold=0.98):
 
 def test_multi_index_recall(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "BLOCK", 64)
-    monkeypatch.setattr(multi_index, "CELL", 8)
+    monkeypatch.setattr(multi_index, "CELL", 64)
     x = vectors()
     label = np.arange(len(x)) % 2
     hit = brute_links(x, label)
@@ -225,11 +226,39 @@ def test_multi_index_edges(spark):
     out = multi_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     assert len(out) == len(rows)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out}
-    assert got[1] == (3, 1) and got[11][1] == 1 and all(got[i] == (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10))
+    assert got[1] == (2, 1) and got[2] == (2, 1) and got[11] == (2, 1) and all(got[i] == (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10))
     empty = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
     assert multi_index.near_vectors(empty).count() == 0
 
 
+def test_multi_index_recall_on_many_vectors(spark, tmp_path):
+    """50,000 vectors of three labels with near copies and a third of equal ones: recall of links and no false one."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(20_000, 32))
+    near = base[rng.integers(0, 4000, 14_000)] + rng.normal(size=(14_000, 32)) * rng.uniform(0, 0.22, (14_000, 1))
+    x = np.concatenate((base, near, np.repeat(base[:1], 16_000, 0))).astype(np.float32)
+    label = np.concatenate((rng.integers(0, 3, 34_000), np.zeros(16_000, int)))
+    pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": label}).to_parquet(tmp_path / "x.parquet")
+    got = multi_index.near_vectors(spark.read.parquet(str(tmp_path / "x.parquet"))).toPandas().sort_values("vec_id")
+    want = np.zeros(len(x), np.int64)
+    for k in range(3):
+        at = np.flatnonzero(label == k)
+        u = x[at].astype(np.float64)
+        u /= np.linalg.norm(u, axis=1)[:, None]
+        for i in range(0, len(at), 1000):
+            want[at[i : i + 1000]] = (u[i : i + 1000] @ u.T >= 0.98).sum(1) - 1
+    n = got["n_links"].to_numpy()
+    rare = want < 10_000
+    assert (n <= want).all() and n[rare].sum() >= 0.98 * want[rare].sum() and n[~rare].sum() >= 0.98 * want[~rare].sum()
+    assert got["component_id"].iloc[-1] == got["component_id"].iloc[34_000]
+
+
+def test_multi_index_ids_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (1, [0.01, 1.0], 1)]
+    out = multi_index.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == [(1, 3, 1)] * 3 + [(2, 2, 1)] * 2 + [(3, 1, 1)]
+
+
 def test_multi_index_links_every_length(spark):
     x = {i: [1.0, float(i % 3), 0.5] for i in range(30)} | {i: [2.0, float(i % 2)] for i in range(30, 40)} | {40: [3.0], 41: [1.0], 42: [0.0]}
     out = {r["vec_id"]: r["n_links"] for r in multi_index.near_vectors(spark.createDataFrame([(i, v, 1) for i, v in x.items()], "vec_id long, embedding array<double>, label int")).collect()}

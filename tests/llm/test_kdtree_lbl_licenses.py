@@ -51,6 +51,52 @@ def test_a_third_of_copies_is_dealt_out(spark):
     assert max(size.values()) < 1.15 * mean and min(size.values()) > 0.85 * mean
 
 
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    sf = "/root/testdata/sf0.01"
+    text = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    by_text, size = collections.defaultdict(set), collections.Counter()
+    for r in kdtree.op6_sharding(spark, sf).collect():
+        by_text[text[r["doc_id"]]].add(r["shard"])
+        size[r["shard"]] += r["size"]
+    assert all(len(s) == 1 for s in by_text.values()) and len(size) == 16
+    mean = sum(size.values()) / 16
+    assert max(size.values()) < 1.2 * mean and min(size.values()) > 0.8 * mean
+
+
+def test_splits_against_a_plain_tree(spark):
+    """Each node is cut across its widest dimension, relative to the whole, at the weighted median; ties go by their hash."""
+    rng = np.random.default_rng(4)
+    n = 2000
+    units = {"k": range(n), "bytes": rng.integers(1, 900, n).astype(float), "x0": rng.normal(size=n), "x1": rng.integers(0, 4, n).astype(float), "x2": rng.exponential(size=n), "x3": np.zeros(n), "tie": rng.random(n), "node": 0}
+    import pandas as pd
+
+    plain = pd.DataFrame(units)
+    df = spark.createDataFrame(plain).withColumn("node", F.col("node").cast("int"))
+    dims = list(kdtree.DIMENSIONS)
+    for nodes in (1, 2, 4, 8):
+        df = kdtree._split(df, nodes)
+        span = plain[dims].max() - plain[dims].min()
+        span[span == 0] = 1
+        new = plain["node"] * 2
+        for k in range(nodes):
+            p = plain[plain["node"] == k]
+            d = ((p[dims].max() - p[dims].min()) / span).idxmax()
+            p = p.sort_values([d, "tie"])
+            upto, half = p["bytes"].cumsum(), p["bytes"].sum() / 2
+            at = int((upto <= half).sum())
+            left = at + (half - (upto.iloc[at - 1] if at else 0) > p["bytes"].iloc[at] / 2)
+            new[p.index[left:]] += 1
+        plain["node"] = new
+        got = {r["k"]: r["node"] for r in df.select("k", "node").collect()}
+        assert got == dict(zip(plain["k"], plain["node"]))
+        df = spark.createDataFrame(plain).withColumn("node", F.col("node").cast("int"))
+
+
+def test_shards_of_a_target_size(spark):
+    docs = table(spark, [(i, "y" * 99) for i in range(64)] + [(100 + i, f"{i:099}") for i in range(64)])
+    assert len({r["shard"] for r in kdtree.kd_shards(docs, target_bytes=1700).collect()}) == 8
+
+
 def test_shard_edges(spark):
     docs = [(None, None), (1, ""), (1, ""), (2, None), (3, "y" * 100_000)]
     out = kdtree.kd_shards(table(spark, docs)).collect()

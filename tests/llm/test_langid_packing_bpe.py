@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillgraph.llm import bpe, langid, packing
+from quillgraph.llm import bpe, common, langid, packing
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 bits = st.sampled_from(["a", "the", "ing", " ", "  ", "\n", "\t", "\r\n", ".", "'s", "'LL", "12", "½", "é", "漢字", "😀", "\xa0", "\x1c", "\x85", "́", "ǅ", "٣", "<|endoftext|>", "<|", "aaaaaaa", "!!!!", "Σ", "İ", "​", "ᄀ", "ᅡ"])
@@ -99,6 +100,46 @@ def test_packing_table(spark):
     assert packing.pack_documents(rows(spark, []), WORD).count() == 0
 
 
+def test_equal_rows_spread_over_the_groups(spark):
+    """100,000 equal rows and a document of a million ids: no group holds more than its share of pieces."""
+    docs = spark.range(100_000).selectExpr("cast(7 as bigint) as doc_id", "'a b' as text").unionByName(spark.range(1).selectExpr("cast(8 as bigint) as doc_id", "repeat('word ', 1000000) as text"))
+    out = packing.pack_documents(docs, WORD).groupBy(F.shiftright("sequence_id", 32).alias("g")).agg(F.count("*").alias("n"), F.sum("length").alias("ids")).collect()
+    assert sum(r["n"] for r in out) == 100_000 + 245 and sum(r["ids"] for r in out) == 300_000 + 1_000_001
+    assert len(out) > 20 and max(r["n"] for r in out) < 1.5 * packing.GROUP_ROWS
+
+
+def test_packing_query_against_the_library(spark):
+    sf = "/root/testdata/sf0.001"
+    tokenizer, want = Tokenizer.from_file(WORD), set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = np.array([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2], np.uint32)
+        want |= {(r["doc_id"], at, len(ids[at : at + 4096]), zlib.crc32(ids[at : at + 4096].tobytes()), len(ids)) for at in range(0, len(ids), 4096)}
+    got = packing.op7_packing(spark, sf).collect()
+    assert len(got) == len(want) and {(r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got} == want
+
+
+def test_bpe_query_against_the_library(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in bpe.op4_bpe(spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = Tokenizer_byte().encode(r["text"] or "", add_special_tokens=False).ids
+        text = Tokenizer_byte().decode(ids, skip_special_tokens=False)
+        g = got[r["doc_id"]]
+        assert (g["n_tokens"], g["ids_sha256"], g["decoded_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_operators_in_one_projection_keep_their_tables():
+    made = []
+    for _ in range(3):
+        common.held("one", lambda: made.append(1) or {}, 90)
+        common.held("two", lambda: made.append(2) or {}, 90)
+    assert made == [1, 2]
+    common.held("three", lambda: made.append(3) or {}, 90)
+    common.held("two", lambda: made.append(2) or {}, 90)
+    assert made == [1, 2, 3] and "one" not in common._held
+    common._held.clear()
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = langid.fit(docs.where(~langid.held_out("doc_id")))
@@ -127,6 +168,31 @@ def test_language_edge_cases(spark):
     assert langid.identify(docs.limit(0), none).count() == 0
 
 
+def test_steps_count_each_n_gram_once(monkeypatch):
+    """Texts around the borders of steps have the counts of the whole text, against a plain loop."""
+    whole = {}
+    for n in (*range(94, 107), 200, 305):
+        text = ("der Straße 12 und\u03a3 the! " * 20)[:n]
+        c = langid.codes(text)
+        whole[text] = np.bincount(langid.grams(c)[0], minlength=langid.BINS)
+    monkeypatch.setattr(langid, "STEP", 50)
+    for text, want in whole.items():
+        got = sum(np.bincount(b, minlength=langid.BINS) for b in langid.bins_in_steps(langid.codes(text)))
+        assert (got == want).all()
+        m = langid.Model(["a", "b"], np.random.default_rng(1).normal(size=(langid.BINS, 2)).astype(np.float32))
+        assert np.allclose(langid.score_batch(m, ["x", text, "yy"])[1], want @ m.logp.astype(np.float64), rtol=1e-6)
+
+
+def test_languages_in_turns_give_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{a}{b} {b}{a} {a}{a}", a + b) for i, (a, b) in enumerate((a, b) for a in "abcde" for b in "xyz")] + [(99, None, None)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    want = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in langid.identify(docs, model).collect())
+    monkeypatch.setattr(langid, "TOGETHER", 4)
+    again = langid.fit(docs)
+    assert again.langs == model.langs and np.allclose(again.logp, model.logp)
+    assert sorted((r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in langid.identify(docs, model).collect()) == want
+
+
 def test_language_of_a_long_text_goes_in_steps(spark):
     docs = spark.createDataFrame([(1, "der die das", "de"), (2, "the and of", "en")], "doc_id long, text string, lang string")
     long = spark.createDataFrame([(1, "the and of " * 60_000)], "doc_id long, text string")

@@ -1,4 +1,14 @@
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
 import corpus_pipeline
+from quillgraph.llm import common
 from quillgraph.llm.common import discard, materialise
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +50,45 @@ def test_stages_take_odd_rows(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_run_leaves_no_scratch_tables(spark):
+    before = common.made_so_far()
+    out = corpus_pipeline.run(spark, SF)
+    assert len(common.made_so_far() - before) == 1 and out.count() > 0
+
+
+@pytest.mark.parametrize("clash", [["score", "lang_pred", "n_words", "a.b", "_quill_told"], ["n_removed", "starts", "ends", "kept_text", "component_id", "fingerprint", "key", "label"]])
+def test_extra_columns_stay_whatever_their_names(spark, clash):
+    long = "a long text of words that differ " + " ".join(f"word{i}" for i in range(60_000))
+    rows = [(1, "the words are here and so on"), (1, "the words are here and so on"), (2, long), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9, *[float(k) for k in range(len(clash))]) for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'`{c}` double' for c in clash)}")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialise(stage(spark, docs, SF))
+    assert docs.columns[5:] == clash and docs.count() == 3
+    assert all(r[5:] == tuple(float(k) for k in range(len(clash))) for r in docs.collect())
+    assert corpus_pipeline.packing(spark, docs, SF).count() == 2 + -(-corpus_pipeline.packing(spark, docs, SF).agg(F.max("doc_tokens")).first()[0] // 4096)
+
+
+def test_run_against_a_plain_chain(spark):
+    """What each document holds in the end, by brute force; the language model's and SimHash's choices are given."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.language_id(spark, docs, SF), SF).collect()}
+    words = {r["doc_id"]: (r["text"], re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in docs.collect() if r["doc_id"] in kept}
+    first = {}
+    for i in sorted(words):
+        w = words[i][1]
+        for a in range(len(w) - 12):
+            first.setdefault(tuple(w[a : a + 13]), i)
+    tokenizer, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), set()
+    for i, (text, w) in words.items():
+        gone = np.zeros(len(w), bool)
+        for a in range(len(w) - 12):
+            if first[tuple(w[a : a + 13])] < i:
+                gone[a : a + 13] = True
+        text = " ".join(x for x, g in zip(w, gone) if not g) if gone.any() else text
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        for at in range(0, len(ids), 4096):
+            want.add((i, at, zlib.crc32(np.array(ids[at : at + 4096], np.uint32).tobytes()), len(ids)))
+    got = [(r["doc_id"], r["start"], r["ids_crc32"], r["doc_tokens"]) for r in corpus_pipeline.run(spark, SF).collect()]
+    assert len(got) == len(want) and set(got) == want
