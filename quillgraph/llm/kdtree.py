@@ -30,35 +30,32 @@ def _pick(node: Column, values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), node + 1)
 
 
-def _histogram(units: DataFrame, low: list[float], width: list[float], at: str, within: Column) -> list[dict[int, float]]:
-    """For each node the bytes by bar of ``at``, among the rows in ``within``."""
+def _histogram(units: DataFrame, low: list[float], width: list[float], at: str, within: Column) -> list[list[tuple]]:
+    """For each node the bars of ``at`` in order, among the rows in ``within``: their bytes, least and greatest value."""
     bar = F.floor((F.col(at) - _pick(F.col("node"), low)) / _pick(F.col("node"), width)).cast("int")
     bar = F.greatest(F.lit(0), F.least(F.lit(BARS - 1), bar))
-    rows = units.where(within).groupBy("node", bar.alias("bar")).agg(F.sum("bytes").alias("bytes")).collect()
-    out: list[dict[int, float]] = [{} for _ in low]
-    for r in rows:
-        out[r["node"]][r["bar"]] = r["bytes"]
+    rows = units.where(within).groupBy("node", bar.alias("bar")).agg(F.sum("bytes").alias("bytes"), F.min(at).alias("low"), F.max(at).alias("high")).collect()
+    out: list[list[tuple]] = [[] for _ in low]
+    for r in sorted(rows, key=lambda r: r["bar"]):
+        out[r["node"]].append((r["bytes"], r["low"], r["high"]))
     return out
 
 
 def _cut_points(units: DataFrame, low: list[float], high: list[float], at: str, want: list[float], within: Column) -> tuple[list[float], list[float], list[float], list[float]]:
-    """By node: the bounds of the last bar, which holds the median, the bytes still wanted from it, and its bytes."""
-    low, want, left = list(low), list(want), [0.0] * len(low)
-    width = [max((h - x) / BARS, math.ulp(max(abs(h), abs(x), 1.0))) for x, h in zip(low, high)]
-    ends = list(high)
+    """By node: the bounds of the last bar, which holds the median, the bytes still wanted from it, and its bytes.
+
+    Bounds are values that occur, the upper one excluded, so that no rounding moves a row across them.
+    """
+    low, ends, want, left = list(low), list(high), list(want), [0.0] * len(low)
     for step in range(REFINE):
+        width = [max((h - x) / BARS, math.ulp(max(abs(h), abs(x), 1.0))) for x, h in zip(low, ends)]
         inside = within & (F.col(at) >= _pick(F.col("node"), low)) & (F.col(at) < _pick(F.col("node"), ends)) if step else within
         for k, bars in enumerate(_histogram(units, low, width, at, inside)):
-            if not bars:
-                continue
-            for b in sorted(bars):
-                if want[k] < bars[b] or b == max(bars):
+            for i, (n, least, greatest) in enumerate(bars):
+                if want[k] < n or i == len(bars) - 1:
+                    left[k], low[k], ends[k] = n, float(least), math.nextafter(float(greatest), math.inf)
                     break
-                want[k] -= bars[b]
-            left[k] = bars[b]
-            ends[k] = low[k] + width[k] * (b + 1) if b < BARS - 1 else ends[k]
-            low[k] += width[k] * b
-            width[k] = max((ends[k] - low[k]) / BARS, math.ulp(max(abs(ends[k]), abs(low[k]), 1.0)))
+                want[k] -= n
     return low, ends, want, left
 
 
