@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillgraph.functions.numbers import iso_date
@@ -50,10 +49,10 @@ def cited_key(row: DataFrame) -> Column:
 def match_by_any(refs: DataFrame, nodes: DataFrame, key: list[str], node: str, ids: tuple[str, ...] = IDS) -> DataFrame:
     """Pairs (key, node) that agree in any id: a union of equi-joins, as a disjunction would be a cross join.
 
-    A null id meets nothing; empty ids meet like any other value.
+    A null id meets nothing, nor does a blank one: nodes' blank ids are null.
     """
     def one(c: str) -> DataFrame:
-        right = nodes.select(F.col(c).alias("_v"), F.col(node).alias("_node")).where("_v is not null").distinct()
+        right = nodes.select(F.col(c).alias("_v"), F.col(node).alias("_node")).where(~blank(F.col("_v"))).distinct()
         return refs.select(*key, F.col(c).alias("_v")).where("_v is not null").join(right, "_v").select(*key, F.col("_node").alias(node))
 
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in ids]).distinct()
@@ -68,7 +67,8 @@ def new_publications(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     for c in IDS:
         fresh = fresh.join(nodes.where(F.col(c).isNotNull()).select(c).distinct(), c, "left_anti")
     fresh = fresh.withColumn("merge_key", cited_key(fresh)).where("merge_key is not null")
-    return fresh.withColumn("_n", F.row_number().over(W.partitionBy("merge_key").orderBy("pub_id", "pos"))).where("_n = 1").drop("_n")
+    first = fresh.groupBy("merge_key").agg(F.min_by(F.struct(*refs.columns), F.struct("pub_id", "pos")).alias("_first"))
+    return first.select(*[F.col(f"_first.{c}").alias(c) for c in refs.columns], "merge_key")
 
 
 def missing_publications(refs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -129,9 +129,13 @@ def build(pubs: DataFrame, refs: DataFrame) -> dict[str, DataFrame]:
     cited = fresh.select(F.col("merge_key").alias("node"), *IDS)
     every = nodes.unionByName(cited)
     authors = all_authors(pubs, refs)
+    none = lambda kind: F.lit(None).cast(kind)
+    own = pubs.select("id", "journal", none("string").alias("volume"), none("int").alias("first_page"), none("int").alias("last_page"), none("string").alias("issue"), F.col("journal").alias("raw_ref"), F.lit(0).alias("pos"))
+    in_journals = own.unionByName(fresh.select(F.col("merge_key").alias("id"), "journal", "volume", "first_page", "last_page", "issue", F.col("raw").alias("raw_ref"), "pos"))
     return {
         "publications": every, "authors": author_nodes(authors), "affiliations": affiliation_nodes(authors), "journals": journal_nodes(pubs, refs),
         "missing": missing_publications(refs, every), "authored": authored_edges(pubs.select("id", "authors").unionByName(fresh.select(F.col("merge_key").alias("id"), "authors"))),
         "works": works_edges(pubs.select("id", "authors").unionByName(fresh.select(F.col("merge_key").alias("id"), "authors"))),
-        "cites": citation_edges(refs, every), "cited_by": cited_by_edges(refs, every),
+        "cites": citation_edges(refs, every), "cited_by": cited_by_edges(refs, every), "published": published_edges(in_journals), "properties": publication_properties(pubs),
+        "cited_properties": fresh.select(F.col("merge_key").alias("node"), *IDS, "year", "journal", "volume", "issue", "first_page", "last_page", "issn", "pmid", "ssid", "urls"),
     }

@@ -26,8 +26,10 @@ def only_in(left: DataFrame, right: DataFrame, by: str = "file", ids: tuple[str,
     return left
 
 
-def pairwise_differences(found: DataFrame, extractors: list[str]) -> DataFrame:
-    """For each ordered pair of extractors how many references only the first one found."""
+def pairwise_differences(found: DataFrame, extractors: list[str] | None = None) -> DataFrame:
+    """For each ordered pair of extractors how many references only the first one found; by default of all that occur, a handful."""
+    if extractors is None:
+        extractors = sorted(r[0] for r in found.select("extractor").where("extractor is not null").distinct().collect())
     out = None
     for a in extractors:
         for b in extractors:
@@ -50,8 +52,10 @@ def zip_arrays(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def at_positions(ids: DataFrame, found: DataFrame) -> DataFrame:
-    """Join by explicit position and take the requested id over the returned one; counts must agree."""
-    return ids.join(found.drop("id"), "pos")
+    """Join by explicit position and take the requested id over the returned one; a position on one side only is an error."""
+    both = ids.withColumn("_a", F.lit(True)).join(found.drop("id").withColumn("_b", F.lit(True)), "pos", "full")
+    lost = F.raise_error(F.concat(F.lit("no record or no id at position "), F.col("pos").cast("string"))).cast("boolean")
+    return both.where(F.when(F.col("_a").isNull() | F.col("_b").isNull(), lost).otherwise(True)).drop("_a", "_b")
 
 
 def over_limit(log: DataFrame, by: str, seconds: float, most: int) -> DataFrame:

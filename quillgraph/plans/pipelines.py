@@ -8,20 +8,25 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillgraph.functions.journal import parse_citation
 from quillgraph.operators import catalogue as cat
 from quillgraph.operators import graph, resolve, segment
 from quillgraph.operators.lines import read_lines
 
 
+#: Records that agree in all of these are alike, so any order of them gives the same table.
+TOTAL_ORDER = ("doi", "title", "year", "volume", "first_page", "last_page", "issue", "journal", "pages", "pmid", "ssid", "authors", "pdf_urls")
+
+
 def load_catalogue(records: DataFrame, stored: DataFrame | None = None, skip_known: bool = True, need_doi: bool = False) -> DataFrame:
     """Clean, drop records whose DOI is stored already, and number the rest after the stored ones."""
     rows = cat.clean_dump(records, need_doi)
     if stored is None:
-        return cat.number(rows.drop("id"), "doi", "title")
+        return cat.number(rows.drop("id"), *TOTAL_ORDER)
     if skip_known:
         rows = cat.drop_known(rows, stored)
     top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    return cat.number(rows.drop("id"), "doi", "title").crossJoin(F.broadcast(top)).withColumn("id", F.col("id") + F.col("_top")).drop("_top")  # one row
+    return cat.number(rows.drop("id"), *TOTAL_ORDER).crossJoin(F.broadcast(top)).withColumn("id", F.col("id") + F.col("_top")).drop("_top")  # one row
 
 
 def validators(letters: str, catalogue: DataFrame | None = None, hits: DataFrame | None = None) -> list[Callable[[DataFrame], DataFrame]]:
@@ -34,13 +39,13 @@ def validators(letters: str, catalogue: DataFrame | None = None, hits: DataFrame
 
 
 def references(entries: DataFrame) -> DataFrame:
-    """Citations with empty fields from segmented entries; parsed fields as far as the rules see them."""
-    year, journal = F.regexp_extract("reference", r"(19|20)\d\d", 0).try_cast("int"), F.lit(None).cast("string")
+    """Citations with the fields that the rules of parse_citation() see in segmented entries."""
     none = lambda kind: F.lit(None).cast(kind)
-    return entries.select(
+    f = entries.withColumn("_f", parse_citation(F.col("reference")))
+    return f.select(
         F.col("doc_id").alias("pub_id"), "pos", F.col("reference").alias("raw"), none("string").alias("arxiv_id"), F.regexp_extract("reference", r"\b(10\.\d{4,9}/\S+[^\s.,;])", 1).alias("doi"),
-        F.array().cast("array<struct<name:string,affiliation:string>>").alias("authors"), none("string").alias("title"), journal.alias("journal"), none("string").alias("issue"), none("int").alias("first_page"),
-        none("int").alias("last_page"), none("string").alias("volume"), year.alias("year"), none("string").alias("issn"), none("string").alias("pmid"), none("string").alias("ssid"),
+        F.transform("_f.authors", lambda a: F.struct(a.alias("name"), none("string").alias("affiliation"))).alias("authors"), "_f.title", "_f.journal", "_f.issue", "_f.first_page",
+        "_f.last_page", "_f.volume", "_f.year", none("string").alias("issn"), none("string").alias("pmid"), none("string").alias("ssid"),
         F.array().cast("array<string>").alias("urls"), F.lit(True).alias("is_reference"), F.lit(False).alias("validated"),
     ).withColumn("doi", F.nullif("doi", F.lit("")))
 

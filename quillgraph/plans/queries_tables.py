@@ -13,7 +13,7 @@ from quillgraph.functions.numbers import parse_year
 from quillgraph.operators import catalogue as cat
 from quillgraph.operators import graph, lines, report, resolve, segment
 from quillgraph.plans.pipelines import references as as_references
-from quillgraph.plans.pipelines import validators
+from quillgraph.plans.pipelines import harvest, validators
 from quillgraph.plans.standins import CATALOGUE_SQL, LINES_SQL, PUBLICATIONS_SQL, REFERENCES_SQL, catalogue, conversation_lines, initials_sql, publications, references, table
 from quillgraph.streaming import incremental
 
@@ -126,9 +126,17 @@ def chain(spark: SparkSession, sf: str) -> DataFrame:
     return refs.select("pub_id", "pos", "doi", "arxiv_id", "validated", F.size("authors").alias("n_authors"))
 
 
-@query("prj07_prj09_accept", f"with {REFERENCES_SQL} select pub_id, pos, '' as arxiv_id, validated, cast(len(names) as int) as n_authors from refs")
+#: Every second citation names an identifier.
+_WITH_ID = "case when pos % 2 = 0 then 'hep-th/' || lpad(cast(pos as varchar), 7, '9') else '' end"
+
+
+def _with_ids(refs: DataFrame) -> DataFrame:
+    return refs.withColumn("raw", F.when(F.col("pos") % 2 == 0, F.concat("raw", F.lit(", HEP hep-th/"), F.lpad(F.col("pos").cast("string"), 7, "9"))).otherwise(F.col("raw")))
+
+
+@query("prj07_prj09_accept", f"with {REFERENCES_SQL} select pub_id, pos, {_WITH_ID} as arxiv_id, validated or pos % 2 = 0 as validated, cast(case when pos % 2 = 0 and not validated then 0 else len(names) end as int) as n_authors from refs")
 def ids_only(spark: SparkSession, sf: str) -> DataFrame:
-    out = resolve.validate_ids(references(spark, sf))
+    out = resolve.validate_ids(_with_ids(references(spark, sf)))
     return out.select("pub_id", "pos", "arxiv_id", "validated", F.size("authors").alias("n_authors"))
 
 
@@ -159,10 +167,10 @@ def new_documents(spark: SparkSession, sf: str) -> DataFrame:
     return cat.drop_known(rows.where("doc_id % 2 = 1"), table(spark, sf, "documents").where("doc_id % 2 = 0").withColumn("doi", F.md5("text"))).select("doc_id")
 
 
-@query("set02_set04_union", "select md5(text) as h from documents where doc_id % 3 = 0 union select md5(text) from documents where doc_id % 3 = 1")
+@query("set02_set04_union", "select md5(text) as h from documents where doc_id % 3 = 0 union select md5(text) from documents where doc_id % 3 <> 0")
 def union(spark: SparkSession, sf: str) -> DataFrame:
     h = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("h"))
-    return h.where("doc_id % 3 = 0").unionByName(h.where("doc_id % 3 = 1")).select("h").distinct()
+    return h.where("doc_id % 3 = 0").unionByName(h.where("doc_id % 3 <> 0")).select("h").distinct()
 
 
 @query("flt06_pending", "select o_orderkey from orders where o_orderkey % 3 <> 0")
@@ -183,22 +191,30 @@ def positions(spark: SparkSession, sf: str) -> DataFrame:
     return report.zip_arrays(lists, "o_orderkey", "o_orderstatus")
 
 
-@query("agg01_agg03_posting_lists", f"with {CATALOGUE_SQL} select {_TITLE} as key, array_to_string(list(id order by id desc), ',') as ids from cat group by 1 having count(*) < 10")
+def _json_sql(*fields: str) -> str:
+    return "'[" + """"' || """ + """ || '","' || """.join(fields) + """ || '"]'"""
+
+
+#: The index's keys of all blocks, as the stand-in catalogue has all fields and two authors each.
+_KEYS_SQL = "keys as (" + " union all ".join(f"select {rank} as block, {k[0] if rank == 0 else _json_sql(*k)} as key, id from cat" for rank, k, _, _ in _BLOCKS.values()) + ")"
+
+
+@query("agg01_agg03_posting_lists", f"with {CATALOGUE_SQL}, {_KEYS_SQL} select block, key, array_to_string(list(id order by id desc), ',') as ids from keys group by 1, 2 having count(*) < 10")
 def lists(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.posting_lists(catalogue(spark, sf)).where("block = 0").select("key", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+    return cat.posting_lists(catalogue(spark, sf)).select("block", "key", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
 
 
-@query("agg02_stm06_merge_postings", f"""with {CATALOGUE_SQL}, old as (select {_TITLE} as key, list(id order by id desc) as ids from cat where id % 2 = 0 group by 1 having count(*) < 10), new as (select {_TITLE} as key, list(id order by id desc) as ids from cat where id % 2 = 1 group by 1 having count(*) < 10)
-    select key, array_to_string(case when len(coalesce(new.ids, [])) + len(coalesce(old.ids, [])) < 10 then list_concat(coalesce(new.ids, []), coalesce(old.ids, [])) else old.ids end, ',') as ids from new full join old using (key) where not (old.ids is null and len(new.ids) >= 10)""")
+@query("agg02_stm06_merge_postings", f"""with {CATALOGUE_SQL}, {_KEYS_SQL}, old as (select block, key, list(id order by id desc) as ids from keys where id % 2 = 0 group by 1, 2 having count(*) < 10), new as (select block, key, list(id order by id desc) as ids from keys where id % 2 = 1 group by 1, 2 having count(*) < 10)
+    select block, key, array_to_string(case when len(coalesce(new.ids, [])) + len(coalesce(old.ids, [])) < 10 then list_concat(coalesce(new.ids, []), coalesce(old.ids, [])) else old.ids end, ',') as ids from new full join old using (block, key) where not (old.ids is null and len(new.ids) >= 10)""")
 def merged(spark: SparkSession, sf: str) -> DataFrame:
     c = catalogue(spark, sf)
     out = cat.merge_postings(cat.posting_lists(c.where("id % 2 = 0")), cat.posting_lists(c.where("id % 2 = 1")))
-    return out.where("block = 0").select("key", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+    return out.select("block", "key", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
 
 
-@query("agg04_posting_stats", f"with {CATALOGUE_SQL} select 0 as block, max(n) as longest from (select count(*) as n from cat group by {_TITLE}) union all select 3, max(n) from (select count(*) as n from cat group by {_A}, volume, year)")
+@query("agg04_posting_stats", f"with {CATALOGUE_SQL}, {_KEYS_SQL} select block, max(n) as longest from (select block, count(*) as n from keys group by block, key) group by 1")
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.posting_stats(catalogue(spark, sf)).where("block in (0, 3)")
+    return cat.posting_stats(catalogue(spark, sf))
 
 
 @query("agg05_agg12_agg13_flags", f"with {REFERENCES_SQL} select pub_id, count(*) filter (where validated) as n_validated, bool_and(validated) as every, bool_or(validated) as some, sum(len(names)) as n_names from refs group by 1")
@@ -233,12 +249,12 @@ def folds(spark: SparkSession, sf: str) -> DataFrame:
 _FOUND = "select event_id, user_id as file, event_type as extractor, case when event_id % 3 = 0 then cast(event_id % 11 as varchar) end as arxiv_id, case when event_id % 4 = 0 then cast(event_id % 13 as varchar) end as doi from events"
 
 
-@query("jn14_agg17_differences", f"""with f as ({_FOUND}), names as (select unnest(['click', 'error', 'purchase']) as e) select a.e as found_by, b.e as missed_by,
+@query("jn14_agg17_differences", f"""with f as ({_FOUND}), names as (select distinct event_type as e from events) select a.e as found_by, b.e as missed_by,
     (select count(*) from f x where x.extractor = a.e and not exists (select 1 from f y where y.extractor = b.e and y.file = x.file and (y.arxiv_id = x.arxiv_id or y.doi = x.doi))) as n from names a, names b where a.e <> b.e""")
 def differences(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("event_id")
     found = table(spark, sf, "events").select("event_id", F.col("user_id").alias("file"), F.col("event_type").alias("extractor"), F.when(i % 3 == 0, (i % 11).cast("string")).alias("arxiv_id"), F.when(i % 4 == 0, (i % 13).cast("string")).alias("doi"))
-    return report.pairwise_differences(found, ["click", "error", "purchase"])
+    return report.pairwise_differences(found)
 
 
 @query("win13_stm08_over_limit", "select event_id, n as recent from (select event_id, count(*) over (partition by user_id order by epoch(ts) range between 36000 preceding and current row) as n from events) where n > 2")
@@ -269,6 +285,19 @@ def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
 
 # Positioned lines.
 
+_BODY_SQL = "translate(md5(c_custkey || '/' || page || '/' || n), '0123456789', 'ghijklmnop')"
+
+
+@query("win04_win06_win07_furniture", f"select cast(c_custkey as varchar) as doc_id, cast(page as int) as page_no, {_BODY_SQL} as str from customer, range(1, 9) p(page), range(2) l(n)")
+def furniture(spark: SparkSession, sf: str) -> DataFrame:
+    """Eight pages for each customer: a running header, two lines of letters, and the page's number; header and number go."""
+    pages = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("doc_id"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("page_no"))
+    body = [F.translate(F.md5(F.concat_ws("/", "doc_id", F.col("page_no").cast("string"), F.lit(str(n)))), "0123456789", "ghijklmnop") for n in range(2)]
+    page = [(lines.START, F.lit(lines.PAGE_START)), (50, F.concat(F.lit("A running header of customer "), "doc_id")), *((50, b) for b in body), (50, F.col("page_no").cast("string")), (lines.END, F.lit(lines.PAGE_END))]
+    made = pages.select("doc_id", "page_no", F.posexplode(F.array(*[F.struct(F.lit(i).alias("indent"), t.alias("str")) for i, t in page])).alias("n", "x"))
+    made = made.select("doc_id", (F.col("page_no") * len(page) + F.col("n")).alias("line_no"), "x.indent", F.lit(700).alias("last_pos"), "x.str", "page_no")
+    return lines.without_marks(segment.without_furniture(made)).select("doc_id", "page_no", "str")
+
 
 @query("win01_page_numbers", f"with {LINES_SQL} select doc_id, line_no, cast(sum(case when indent = -1 then 1 else 0 end) over (partition by doc_id order by line_no) as int) as page_no from lines")
 def page_numbers(spark: SparkSession, sf: str) -> DataFrame:
@@ -362,9 +391,11 @@ def lcs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf).withColumn("s", sim.lcs(F.col("a"), F.col("b")))
 
 
-@query("str06_num05_authors", "select p_partkey as id, true as all_in from part")
+@query("str06_num05_authors", "select p_partkey as id, p_partkey % 3 <> 1 as all_in from part")
 def authors_in(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), sim.all_authors_in(F.array("p_name", "p_type"), F.concat_ws(", ", "p_type", "p_brand", "p_name")).alias("all_in"))
+    """A third of the texts names one author only."""
+    text = F.when(F.col("p_partkey") % 3 == 1, F.concat_ws(", ", "p_type", F.lit("0000"))).otherwise(F.concat_ws(", ", "p_type", "p_brand", "p_name"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), sim.all_authors_in(F.array("p_name", "p_type"), text).alias("all_in"))
 
 
 # Graph.
@@ -451,11 +482,52 @@ def built(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+#: A citation for each part in full, and the catalogue it is resolved against: titles of letters that no other part has.
+_WORD = "translate(md5(cast(p_partkey as string)), '0123456789', 'ghijklmnop')"
+
+
+def _cited_parts(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part").withColumn("title", F.concat(F.lit("On the "), F.expr(_WORD), F.lit(" of "), "p_name"))
+    k = F.col("p_partkey")
+    raw = F.concat(F.lit("[1] A. B. Miller, C. Smith, "), "title", F.lit(", Phys. Rev. D "), F.col("p_size").cast("string"), F.lit(", "), (100 + k % 700).cast("string"), F.lit("-"), (110 + k % 700).cast("string"), F.lit(" ("), (1990 + k % 9).cast("string"), F.lit(")"))
+    return p.select(k.cast("string").alias("doc_id"), F.lit(1).alias("pos"), raw.alias("reference"), "title", "p_size", "p_partkey")
+
+
+@query("prj11_src19_citation_fields", """select cast(p_partkey as varchar) as pub_id, 'A. B. Miller;C. Smith' as names, 'On the ' || translate(md5(cast(p_partkey as varchar)), '0123456789', 'ghijklmnop') || ' of ' || p_name as title, 'Phys. Rev. D' as journal,
+    cast(p_size as varchar) as volume, cast(100 + p_partkey % 700 as int) as first_page, cast(110 + p_partkey % 700 as int) as last_page, cast(1990 + p_partkey % 9 as int) as year from part""")
+def citation_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Citation strings taken apart again."""
+    out = as_references(_cited_parts(spark, sf))
+    return out.select("pub_id", F.array_join(F.transform("authors", lambda a: a["name"]), ";").alias("names"), "title", "journal", "volume", "first_page", "last_page", "year")
+
+
+@query("udf07_harvest_resolves", "select cast(p_partkey as varchar) as src, 'doi:10.1/' || p_partkey as dst from part")
+def harvested(spark: SparkSession, sf: str) -> DataFrame:
+    """Citation strings to the graph: fields, catalogue, citation edges to publications that weren't there."""
+    parts = _cited_parts(spark, sf)
+    author = lambda n: F.struct(F.lit(n).alias("name"))
+    k, none = F.col("p_partkey"), F.lit(None).cast("string")
+    known = parts.select(
+        k.alias("id"), F.array(author("A. B. Miller"), author("C. Smith")).alias("authors"), none.alias("pmid"), F.concat(F.lit("10.1/"), k).alias("doi"), none.alias("ssid"), F.lit("Phys. Rev. D").alias("journal"), none.alias("pages"), F.col("p_size").cast("string").alias("volume"), "title",
+        (1990 + k % 9).cast("int").alias("year"), (100 + k % 700).cast("int").alias("first_page"), (110 + k % 700).cast("int").alias("last_page"), none.alias("issue"), F.array().cast("array<string>").alias("pdf_urls"),
+    )
+    pubs = parts.select(
+        F.col("doc_id").alias("id"), F.array().cast("array<struct<name:string,affiliation:string>>").alias("authors"), none.alias("title"), none.alias("doi"), none.alias("journal"),
+        *[none.alias(c) for c in ("created", "updated", "msc_class", "acm_class", "pdf_url", "abstract")], F.array().cast("array<string>").alias("categories"),
+    )
+    tables = harvest(pubs, parts, validators("l", known), extractor=lambda p: p.select("doc_id", "pos", "reference"))
+    return tables["cites"].select("src", "dst")
+
+
 # Incremental loads.
 
 
 def _scratch(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints/quillgraph"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file:///tmp/checkpoints/quillgraph"
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 

@@ -82,9 +82,9 @@ def conversation_lines(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("turn")
     return table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("doc_id"), t.cast("int").alias("line_no"), F.when(t % 3 == 0, -1).when(t % 3 == 2, -2).otherwise(F.length("text") % 50).cast("int").alias("indent"),
-        (F.length("text") % 900).cast("int").alias("last_pos"), F.when(t % 3 == 1, F.when(F.length("text") % 2 == 0, F.length("text").cast("string")).otherwise(F.left("text", F.lit(20)))).otherwise("@").alias("str"),
+        (F.length("text") % 900).cast("int").alias("last_pos"), F.when(t % 3 == 1, F.when(F.length("text") % 2 == 0, F.length("text").cast("string")).otherwise(F.col("text"))).otherwise("@").alias("str"),
     )
 
 
 LINES_SQL = """lines as (select cast(conv_id as varchar) as doc_id, cast(turn as int) as line_no, cast(case turn % 3 when 0 then -1 when 2 then -2 else length(text) % 50 end as int) as indent,
-    cast(length(text) % 900 as int) as last_pos, case when turn % 3 = 1 then case when length(text) % 2 = 0 then cast(length(text) as varchar) else text[1:20] end else '@' end as str from conversations)"""
+    cast(length(text) % 900 as int) as last_pos, case when turn % 3 = 1 then case when length(text) % 2 = 0 then cast(length(text) as varchar) else text end else '@' end as str from conversations)"""
