@@ -33,8 +33,8 @@ WORDS_BY_ROOT = 4
 SUFFIXES = 256
 SUFFIX_BYTES = 3
 DIM = 32
-NOISE = 24
-NOISE_IN_CLASS = 12
+NOISE = 16
+NOISE_IN_CLASS = 8
 BATCH = 8192
 RATE = 0.1
 #: Training text that the driver learns from first, in distinct documents of at most a sixteenth of it.
