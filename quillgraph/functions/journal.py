@@ -25,8 +25,8 @@ def parse_journal(raw: Column) -> Column:
     return F.struct(title.alias("title"), volume.alias("volume"), number.alias("number"), first.alias("first_page"), last.alias("last_page"), F.coalesce(in_brackets, parse_year(rest)).alias("year"))
 
 
-#: A name with its initials before or after it, and a journal's abbreviated or whole name before its volume.
-_NAME = r"(?:(?:\p{Lu}\.[\s-]?)+\s?\p{Lu}[\p{L}'-]+|\p{Lu}[\p{L}'-]+,?\s(?:\p{Lu}\.[\s-]?)+)"
+#: A name with its initials before or after it (not 'J. Phys. A 7'), and a journal's abbreviated or whole name before its volume.
+_NAME = r"(?:(?:\p{Lu}\.[\s-]?)+\s?\p{Lu}[\p{L}'-]+(?![\p{L}'-])(?!\.\s?(?:\p{Lu}\b)?\s*\d)|\p{Lu}[\p{L}'-]+,?\s(?:\p{Lu}\.[\s-]?)+)"
 _JOURNAL = r"(?:(?:\p{Lu}\p{L}*\.\s?){1,5}(?:\p{Lu}\b)?|Nature|Science|\p{Lu}\w+ Journal[\w ]*|Journal of [\p{L} ]+?)[,\s]*(?:[Vv]ol\.?\s*)?\d"
 
 
