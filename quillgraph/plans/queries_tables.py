@@ -472,7 +472,26 @@ def upsert(spark: SparkSession, sf: str) -> DataFrame:
     return graph.upsert(once, o.where(F.col("o_orderkey") > half), "k", "o_orderkey").withColumn("even", F.coalesce("even", F.lit(0)))
 
 
-@query("grf_build_tables")
+_MET = "(select r.pub_id, r.pos, r.raw, n.node from refs r join every n on r.doi = n.doi union select r.pub_id, r.pos, r.raw, n.node from refs r join every n on r.title = n.title and trim(n.title) <> '')"
+
+
+@query("grf_build_tables", f"""with {PUBLICATIONS_SQL}, {REFERENCES_SQL},
+    f as (select *, coalesce('doi:' || doi, 'title:' || title) as merge_key from refs where validated and doi not in (select doi from pubs where doi is not null) is not false and title not in (select title from pubs) is not false),
+    fresh as (select * from (select *, row_number() over (partition by merge_key order by pub_id, pos) as n from f where merge_key is not null) where n = 1),
+    every as (select id as node, doi, title from pubs union all select merge_key, doi, title from fresh), met as {_MET},
+    lost as (select coalesce(title, '#' || pub_id || '/' || pos) as src, pub_id from refs where (pub_id, pos) not in (select (pub_id, pos) from met where pub_id <> node))
+    select 'publications' as name, count(*) as n from every
+    union all select 'authors', count(*) from (select author from pubs union select unnest(names) from refs where validated)
+    union all select 'affiliations', count(distinct affiliation) from pubs where trim(affiliation) <> ''
+    union all select 'journals', count(distinct journal) from pubs
+    union all select 'missing', count(distinct title) from refs where not validated and (pub_id, pos) not in (select (pub_id, pos) from met)
+    union all select 'authored', count(*) from (select id, author from pubs where affiliation is null or trim(affiliation) <> '' union select merge_key, unnest(names) from fresh)
+    union all select 'works', count(*) from (select distinct author, affiliation from pubs where trim(affiliation) <> '')
+    union all select 'cites', count(*) from (select distinct pub_id, node, raw from met where pub_id <> node)
+    union all select 'cited_by', count(*) from (select distinct src, pub_id from lost)
+    union all select 'published', count(*) from (select distinct id, journal from pubs)
+    union all select 'properties', count(*) from pubs
+    union all select 'cited_properties', count(*) from fresh""")
 def built(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of each table of the whole graph."""
     out = None
