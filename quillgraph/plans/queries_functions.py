@@ -161,6 +161,21 @@ def oai(spark: SparkSession, sf: str) -> DataFrame:
     return xml.parse_oai(rows).select("identifier", "id", F.get("authors", F.lit(0))["name"].alias("author"), "title", "abstract", F.size("categories").alias("n_categories"))
 
 
+@query("src01_page_records", """select 'k' || p_partkey as id, p_name as title, 'A ' || p_brand as author, case when p_partkey % 3 <> 0 then 'http://x/' || p_partkey end as pdf_url from part where p_partkey % 7 <> 0""")
+def page_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of fifty parts each to records with their links; every seventh lacks its creation date."""
+    from quillgraph.sources.xml import page_records as parsed
+    from quillgraph.sources.xml import with_pdf_links
+
+    p = table(spark, sf, "part")
+    created = "if(p_partkey % 7 = 0, '', '<created>2001-02-03</created>')"
+    record = f"""concat('<record><header><identifier>i', p_partkey, '</identifier><datestamp>2020-01-01</datestamp></header><metadata><arXiv><id>k', p_partkey, '</id>', {created}, '<title>', p_name,
+        '</title><abstract>a</abstract><authors><author><keyname>', p_brand, '</keyname><forenames>A</forenames></author></authors></arXiv></metadata></record>')"""
+    pages = p.groupBy(F.floor(F.col("p_partkey") / 50).alias("n")).agg(F.concat_ws("\n", F.lit("<OAI-PMH><ListRecords>"), F.collect_list(F.expr(record)), F.lit("</ListRecords></OAI-PMH>")).alias("page"))
+    links = p.select(F.concat(F.lit("k"), "p_partkey").alias("id"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.concat(F.lit("http://x/"), "p_partkey")).alias("url"))
+    return with_pdf_links(parsed(pages), links).select("id", "title", F.col("authors")[0]["name"].alias("author"), "pdf_url")
+
+
 @query("src06_src07_links", "select p_partkey as id, case when p_partkey % 3 = 0 then '' else 'http://x/' || p_partkey end as url from part union all select p_partkey, 'http://y' from part where p_partkey % 3 = 1")
 def links(spark: SparkSession, sf: str) -> DataFrame:
     kind = "array<struct<_title:string,_href:string>>"

@@ -1,7 +1,9 @@
-"""A streaming source that pulls pages by a resumption token.
+"""A source that pulls pages by a resumption token, as a stream or, in date ranges side by side, as a batch.
 
 The transport is a class that fetches one page for a token: over HTTP in production, from a list in tests. Pages that
-fail are tried again; the offset of the stream is the token, so a restart resumes at the page that was not stored.
+fail are tried again. The offset of the stream is the token, so a restart resumes at the page that was not stored; as
+each token comes with the page before, the stream reads one page after the other. A batch has a task for each range of
+the option ``ranges``, which follows that range's tokens to the end; a task that is lost starts its range again.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import urllib.request
 from collections import deque
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 
 @dataclass
@@ -59,10 +61,12 @@ class HttpPages:
     """OAI-PMH over HTTP: the first request by date, the others by token; 503 waits and tries again, others raise."""
 
     def __init__(self, options: dict[str, str]):
-        self.base, self.start, self.prefix = options["url"], options.get("from", ""), options.get("prefix", "arXiv")
+        self.base, self.start, self.prefix, self.until = options["url"], options.get("from", ""), options.get("prefix", "arXiv"), options.get("until", "")
 
     def address(self, token: str) -> str:
         query = {"verb": "ListRecords", "resumptionToken": token} if token else {"verb": "ListRecords", "from": self.start, "metadataPrefix": self.prefix}
+        if self.until and not token:
+            query["until"] = self.until
         return f"{self.base}?{urllib.parse.urlencode(query)}"
 
     def fetch(self, token: str) -> Page:
@@ -82,10 +86,46 @@ class HttpPages:
         return Page([(text,)], token_found[1].strip() if token_found else "", int(size[1]) if size else 0)
 
 
+def transport(options: dict[str, str]):
+    """The transport that the options name as module:class."""
+    module, _, name = options.get("transport", f"{__name__}:HttpPages").partition(":")
+    return getattr(importlib.import_module(module), name)(options)
+
+
+@dataclass
+class Range(InputPartition):
+    start: str
+    until: str
+
+
+class RangeReader(DataSourceReader):
+    """A task for each range of dates, from..until inclusive, parted by commas; without ranges one task reads all.
+
+    The service's limit of requests is shared out evenly, as tasks may all run at once.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.options = dict(options)
+
+    def partitions(self) -> list[Range]:
+        bounds = [r.strip().partition("..") for r in self.options.get("ranges", "").split(",") if r.strip()]
+        return [Range(start, until) for start, _, until in bounds] or [Range(self.options.get("from", ""), self.options.get("until", ""))]
+
+    def read(self, partition: Range):
+        pages, tasks = transport(self.options | {"from": partition.start, "until": partition.until}), len(self.partitions())
+        limit, token = RateLimit(1, RateLimit().seconds * tasks / RateLimit().most), ""
+        while True:
+            limit.wait()
+            page = with_retry(lambda at=token: pages.fetch(at))
+            yield from page.rows
+            token = page.next_token
+            if not token:
+                return
+
+
 class PagedReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
-        module, _, name = options.get("transport", f"{__name__}:HttpPages").partition(":")
-        self.transport = getattr(importlib.import_module(module), name)(options)
+        self.transport = transport(options)
         self.first, self.limit = options.get("token", ""), RateLimit()
 
     def initialOffset(self) -> dict:
@@ -107,7 +147,7 @@ class PagedReader(SimpleDataSourceStreamReader):
 
 
 class PagedSource(DataSource):
-    """spark.dataSource.register(PagedSource); spark.readStream.format("paged").option("transport", "module:Class")"""
+    """spark.dataSource.register(PagedSource); spark.readStream or spark.read.format("paged").option("transport", "module:Class")"""
 
     @classmethod
     def name(cls) -> str:
@@ -116,5 +156,8 @@ class PagedSource(DataSource):
     def schema(self) -> str:
         return self.options.get("schema", "page string")
 
+    def reader(self, schema) -> RangeReader:
+        return RangeReader(self.options)
+
     def simpleStreamReader(self, schema) -> PagedReader:
         return PagedReader(self.options)

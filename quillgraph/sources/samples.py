@@ -17,3 +17,14 @@ class FivePages:
             self.failed.add("2")
             raise ConnectionError("try again")
         return Page([(str(n), r) for r in range(3)], str(n + 1) if n < 4 else "", 15)
+
+
+class DatedPages:
+    """A page for each month of the range, from..until, which are months of one year."""
+
+    def __init__(self, options: dict[str, str]):
+        self.start, self.until = int(options["from"]), int(options["until"])
+
+    def fetch(self, token: str) -> Page:
+        n = int(token or self.start)
+        return Page([(n, f"{n}/{r}") for r in range(2)], str(n + 1) if n < self.until else "", 2 * (self.until - self.start + 1))

@@ -44,6 +44,19 @@ def read_oai(spark: SparkSession, path: str) -> DataFrame:
     return parse_oai(read_oai_raw(spark, path))
 
 
+def page_records(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Publications of OAI pages that a harvest has brought as text, such as those of the paged source."""
+    records = pages.select(F.explode(F.regexp_extract_all(page, F.lit(r"(?s)<record\b.*?</record>"), F.lit(0))).alias("_r"))
+    return parse_oai(records.select(F.from_xml("_r", schemas.OAI_RECORD, {"ignoreNamespace": "true"}).alias("_r")).select("_r.*"))
+
+
+def with_pdf_links(records: DataFrame, links: DataFrame) -> DataFrame:
+    """``records`` with the address that ``links`` (``id``, ``url``) has for their id; a record without one is an error."""
+    met = records.drop("pdf_url").join(links.select("id", F.col("url").alias("pdf_url")), "id", "left")
+    lost = F.raise_error(F.concat(F.lit("no link for "), F.col("id"))).cast("string")
+    return met.withColumn("pdf_url", F.when(F.col("pdf_url").isNull(), lost).otherwise(F.nullif("pdf_url", F.lit("")))).select(records.columns)
+
+
 def read_cursor(spark: SparkSession, path: str) -> DataFrame:
     """``token`` and ``total`` of each page's resumption element; an empty token ends the harvest."""
     page = spark.read.text(path, wholetext=True)

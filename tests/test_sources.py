@@ -1,6 +1,7 @@
 import io
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.operators import graph, report
@@ -89,6 +90,25 @@ def test_rate_limit_and_retry():
     assert "from=2020-01-01" in http.address("") and "resumptionToken=t%7C1" in http.address("t|1")
 
 
+def test_ranges_are_read_side_by_side(spark):
+    spark.dataSource.register(paged.PagedSource)
+    months = spark.read.format("paged").option("transport", "quillgraph.sources.samples:DatedPages").option("schema", "month int, row string").option("ranges", "1..3, 4..4,5..12").load()
+    assert months.rdd.getNumPartitions() == 3
+    assert sorted(tuple(r) for r in months.collect()) == sorted((m, f"{m}/{r}") for m in range(1, 13) for r in range(2))
+    dated = paged.HttpPages({"url": "http://x", "from": "2020-01-01", "until": "2020-01-31"})
+    assert "until=2020-01-31" in dated.address("") and "until" not in dated.address("t")
+
+
+def test_records_of_fetched_pages(spark):
+    pages = spark.createDataFrame([(OAI,), ("<OAI-PMH/>",), (None,)], "page string")
+    rows = xml.page_records(pages)
+    assert [(r["id"], r["title"], r["abstract"]) for r in rows.collect()] == [("0801.2407", "A long title", "One two")]
+    linked = xml.with_pdf_links(rows, spark.createDataFrame([("0801.2407", "http://p")], "id string, url string"))
+    assert linked.columns == rows.columns and linked.first()["pdf_url"] == "http://p"
+    with pytest.raises(Exception, match="no link for 0801.2407"):
+        xml.with_pdf_links(rows, spark.createDataFrame([("other", "http://p")], "id string, url string")).collect()
+
+
 def test_upsert_is_idempotent(spark):
     old = spark.createDataFrame([("a", "x", None)], "k string, p string, q int")
     new = spark.createDataFrame([("a", None, 1, 1), ("a", "y", None, 2), ("b", "z", 3, 3)], "k string, p string, q int, at int")
