@@ -118,14 +118,6 @@ def shortcut(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolve_with_shortcut(references(spark, sf), catalogue(spark, sf)).select("pub_id", "pos", "doi", "title", "volume", "year", "validated")
 
 
-@query("udf03_validator_chain", f"with recursive {_RESOLVED} select pub_id, pos, doi, '' as arxiv_id, validated, cast(n_authors as int) as n_authors from resolved")
-def chain(spark: SparkSession, sf: str) -> DataFrame:
-    refs = references(spark, sf)
-    for v in validators("la", catalogue(spark, sf)):
-        refs = refs.transform(v)
-    return refs.select("pub_id", "pos", "doi", "arxiv_id", "validated", F.size("authors").alias("n_authors"))
-
-
 #: Every second citation names an identifier.
 _WITH_ID = "case when pos % 2 = 0 then 'hep-th/' || lpad(cast(pos as varchar), 7, '9') else '' end"
 
@@ -134,6 +126,18 @@ def _with_ids(refs: DataFrame) -> DataFrame:
     return refs.withColumn("raw", F.when(F.col("pos") % 2 == 0, F.concat("raw", F.lit(", HEP hep-th/"), F.lpad(F.col("pos").cast("string"), 7, "9"))).otherwise(F.col("raw")))
 
 
+#: The same over citations of which every second names an identifier.
+_RESOLVED_WITH_IDS = _RESOLVED.replace(REFERENCES_SQL, f"""plain_{REFERENCES_SQL}, refs as (select * replace (case when pos % 2 = 0 then raw || ', HEP hep-th/' || lpad(cast(pos as varchar), 7, '9') else raw end as raw) from plain_refs)""")
+
+
+@query("udf03_validator_chain", f"with recursive {_RESOLVED_WITH_IDS} select pub_id, pos, doi, {_WITH_ID} as arxiv_id, validated or pos % 2 = 0 as validated, cast(case when pos % 2 = 0 and not validated then 0 else n_authors end as int) as n_authors from resolved")
+def chain(spark: SparkSession, sf: str) -> DataFrame:
+    refs = _with_ids(references(spark, sf))
+    for v in validators("la", catalogue(spark, sf)):
+        refs = refs.transform(v)
+    return refs.select("pub_id", "pos", "doi", "arxiv_id", "validated", F.size("authors").alias("n_authors"))
+
+
 @query("prj07_prj09_accept", f"with {REFERENCES_SQL} select pub_id, pos, {_WITH_ID} as arxiv_id, validated or pos % 2 = 0 as validated, cast(case when pos % 2 = 0 and not validated then 0 else len(names) end as int) as n_authors from refs")
 def ids_only(spark: SparkSession, sf: str) -> DataFrame:
     out = resolve.validate_ids(_with_ids(references(spark, sf)))
