@@ -134,7 +134,8 @@ def near_links(prints: DataFrame) -> DataFrame:
     keyed = prints.select(F.explode(_keys(F.col("fp"))).alias("key"), "fp", "node")
     large = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     large = large.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = keyed.join(large, "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    # Nothing here is broadcast: by Spark's estimate the 32 keys of a fingerprint are no more than the fingerprint.
+    dealt = keyed.join(large.hint("merge"), "key").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "fp", "node")
     sets = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "fp")

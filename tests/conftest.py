@@ -1,3 +1,5 @@
+import contextlib
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -9,3 +11,17 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@contextlib.contextmanager
+def small_broadcasts(spark):
+    """Tables of up to 256 kB may be broadcast; one that Spark takes for such and that needs 2.5 MB in the driver is an error."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "256k", "spark.sql.maxBroadcastTableSize": "2500k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -8,7 +8,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillgraph.llm import minhash, multi_index, simhash, substring
-from quillgraph.llm.common import connected_components
+from quillgraph.llm.common import connected_components, materialise
+from tests.conftest import small_broadcasts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KIND = "doc_id long, text string, fingerprint string, chunk int, bucket string, bits int, fp int, node int, key int"
@@ -141,6 +142,17 @@ def test_large_keys_are_dealt_in_blocks(spark, monkeypatch):
     assert {i: got.get(i, i) for i in want} == want
 
 
+def test_no_key_of_near_prints_goes_to_the_driver(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(64) for _ in range(6000)]
+    prints = [x ^ (1 << rng.randrange(64)) if k else x for x in base for k in range(2)]
+    rows = [(x - (1 << 64) if x >> 63 else x, i) for i, x in enumerate(prints)]
+    with small_broadcasts(spark):
+        links = simhash.near_links(materialise(spark.createDataFrame(rows, "fp long, node long")))
+        got = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert got == {i: i - i % 2 for i in range(len(prints))}
+
+
 def test_simhash_edges(spark):
     docs = table(spark, [(4, None), (3, ""), (None, "a b c d"), (5, "a b c d"), (5, "a b c d")])
     out = [(r["doc_id"], r["component_id"]) for r in simhash.simhash_groups(docs).collect()]
