@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillgraph.llm import common
+from quillgraph.llm import common, simhash
 from quillgraph.llm.common import discard, materialise
+from tests.conftest import small_broadcasts
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,6 +48,22 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_near_dedup_sends_no_keys_to_the_driver(spark):
+    """Near copies share many more keys than there are documents; a broadcast of the keys passes the size allowed here."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(0, 8000, 2):
+        w = [f"w{x}" for x in rng.integers(0, 100_000, 200)]
+        rows += [(i, " ".join(w), "en", "s", 9), (i + 1, " ".join([*w[:-1], "other"]), "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    prints = [simhash.fingerprint(r[1]) & (2**64 - 1) for r in rows]
+    want = {i for i in range(len(rows)) if i % 2 == 0 or (prints[i] ^ prints[i - 1]).bit_count() > 3}
+    assert len(want) < 0.9 * len(rows)
+    with small_broadcasts(spark):
+        kept = materialise(corpus_pipeline.near_dedup(spark, docs, SF))
+    assert kept.count() == len(want) and {r["doc_id"] for r in kept.collect()} == want
+    discard(kept)
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
