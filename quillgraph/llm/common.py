@@ -111,7 +111,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star until nothing changes, so the number of rounds grows with the
     logarithm of the longest path and every step is a partial aggregation and a join. Returns ``node``,
     ``component`` (the smallest node reachable) for each node that has an edge to another; null ends
-    and self-loops are ignored.
+    and self-loops are ignored. Nothing is broadcast: Spark would judge the joins by the written tables' compressed size.
     """
     e = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = materialise(e)
@@ -119,9 +119,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where(F.col("v") > F.col("u")).join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("p"))
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("p"))
         new = materialise(small.select(F.col("p.v").alias("u"), F.col("p.m").alias("v")).where("u <> v").distinct())
         discard(e)
         e, now = new, _checksum(new)

@@ -148,13 +148,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Returns ``doc_id``, ``fingerprint`` (long) and ``component_id``, the smallest id reachable, one row for each
     input row. Null and wordless texts have fingerprint zero and link like any other; equal texts, ties and
     repeated rows share a component; a row with a null id is in no group and has a null component; an empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored. No table that grows with the documents is broadcast.
     """
     marks = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), simhash(F.col(text_col)).alias("fingerprint")))
     prints = materialise(marks.where("doc_id is not null").groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("node")))
     found = connected_components(near_links(prints))
-    group = prints.join(found, "node", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("component", "node").alias("group"))
-    out = marks.join(group, "fingerprint", "left")
+    group = prints.join(found.hint("merge"), "node", "left").select(F.col("fp").alias("fingerprint"), F.coalesce("component", "node").alias("group"))
+    out = marks.join(group.hint("merge"), "fingerprint", "left")
     return out.select("doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("group")).alias("component_id"))
 
 
@@ -164,7 +164,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows with a null id are kept. If the smallest id is on several rows, all of these stay.
     """
     keep = simhash_groups(docs, id_col, text_col).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_quill_keep")).distinct()
-    kept = docs.join(keep, docs[id_col] == F.col("_quill_keep"), "left_semi")
+    kept = docs.join(keep.hint("merge"), docs[id_col] == F.col("_quill_keep"), "left_semi")
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
 
 

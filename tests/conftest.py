@@ -14,9 +14,9 @@ def spark():
 
 
 @contextlib.contextmanager
-def small_broadcasts(spark):
+def small_broadcasts(spark, below="256k", most="2500k"):
     """Tables of up to 256 kB may be broadcast; one that Spark takes for such and that needs 2.5 MB in the driver is an error."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "256k", "spark.sql.maxBroadcastTableSize": "2500k"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": below, "spark.sql.maxBroadcastTableSize": most}
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)

@@ -64,6 +64,19 @@ def test_near_dedup_sends_no_keys_to_the_driver(spark):
     discard(kept)
 
 
+def test_near_dedup_broadcasts_no_table(spark):
+    """Spark's default threshold would broadcast links, groups and kept ids, all of which grow with the documents."""
+    rows = [(i, " ".join([*(f"w{i // 2}x{j}" for j in range(199)), f"y{i % 2}"]), "en", "s", 9) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    prints = [simhash.fingerprint(r[1]) & (2**64 - 1) for r in rows]
+    want = {i for i in range(len(rows)) if i % 2 == 0 or (prints[i] ^ prints[i - 1]).bit_count() > 3}
+    assert len(want) < 0.9 * len(rows)
+    with small_broadcasts(spark, below="10m", most="1k"):
+        kept = materialise(corpus_pipeline.near_dedup(spark, docs, SF))
+    assert kept.count() == len(want) and {r["doc_id"] for r in kept.collect()} == want
+    discard(kept)
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
