@@ -1,3 +1,6 @@
+import hashlib
+import itertools
+
 import pytest
 
 from quillgraph.operators import lines as L
@@ -82,6 +85,15 @@ def test_alternating_page_numbers():
     assert S.number_pattern(S.number_places(odd_top)) == 3
 
 
+def test_a_header_with_digits_is_no_page_number():
+    """Each set of up to six digits in the header of eight numbered pages; the numbers stand below."""
+    letters = lambda p: [hashlib.md5(f"{p}/{n}".encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop")) for n in range(2)]
+    left = lambda k: texts(S.clean(pages(8, top=lambda p: f"A running header of customer {k}", bottom=str, body=letters)))
+    body = texts(pages(8, body=letters))
+    assert left(21486) == body
+    assert all(left("".join(d)) == body for n in range(1, 7) for d in itertools.combinations("0123456789", n))
+
+
 def test_header_runs_need_three():
     head = "A running header of some length"
     assert head not in texts(S.without_headers(pages(4, top=lambda p: head)))
