@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,11 +50,12 @@ def cited_key(row: DataFrame) -> Column:
 def match_by_any(refs: DataFrame, nodes: DataFrame, key: list[str], node: str, ids: tuple[str, ...] = IDS) -> DataFrame:
     """Pairs (key, node) that agree in any id: a union of equi-joins, as a disjunction would be a cross join.
 
-    A null id meets nothing, nor does a blank one: nodes' blank ids are null.
+    A null id meets nothing, nor does a blank one: nodes' blank ids are null. Joins here are merge joins: Spark guesses
+    sizes from those of files, and would broadcast tables that grow.
     """
     def one(c: str) -> DataFrame:
         right = nodes.select(F.col(c).alias("_v"), F.col(node).alias("_node")).where(~blank(F.col("_v"))).distinct()
-        return refs.select(*key, F.col(c).alias("_v")).where("_v is not null").join(right, "_v").select(*key, F.col("_node").alias(node))
+        return refs.select(*key, F.col(c).alias("_v")).where("_v is not null").join(right.hint("merge"), "_v").select(*key, F.col("_node").alias(node))
 
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in ids]).distinct()
 
@@ -65,7 +67,7 @@ def new_publications(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     fresh = refs.where("validated")
     for c in IDS:
-        fresh = fresh.join(nodes.where(F.col(c).isNotNull()).select(c).distinct(), c, "left_anti")
+        fresh = fresh.join(nodes.where(F.col(c).isNotNull()).select(c).distinct().hint("merge"), c, "left_anti")
     fresh = fresh.withColumn("merge_key", cited_key(fresh)).where("merge_key is not null")
     first = fresh.groupBy("merge_key").agg(F.min_by(F.struct(*refs.columns), F.struct("pub_id", "pos")).alias("_first"))
     return first.select(*[F.col(f"_first.{c}").alias(c) for c in refs.columns], "merge_key")
@@ -75,7 +77,7 @@ def missing_publications(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Titles of unresolved citations that no publication matches."""
     lost = refs.where(~F.col("validated") & ~blank(F.col("title")))
     for c in IDS:
-        lost = lost.join(nodes.where(F.col(c).isNotNull()).select(c).distinct(), c, "left_anti")
+        lost = lost.join(nodes.where(F.col(c).isNotNull()).select(c).distinct().hint("merge"), c, "left_anti")
     return lost.select("title").distinct()
 
 
@@ -90,10 +92,24 @@ def works_edges(pubs: DataFrame) -> DataFrame:
     return a.where(~blank(F.col("a.affiliation"))).select(F.col("a.name").alias("src"), F.col("a.affiliation").alias("dst")).distinct()
 
 
+def _any_ids(rows: DataFrame, by: list[str], usable: Callable[[Column], Column]) -> DataFrame:
+    """A row for each distinct ``by`` and id it has, as ``_v``; ``_before`` has its ids that sort before, or null."""
+    ids = F.filter(F.array(*[F.when(usable(F.col(c)), F.concat(F.lit(f"{c}:"), F.col(c))) for c in IDS]), lambda x: x.isNotNull())
+    own = rows.select(*by, ids.alias("_ids")).repartition(*by).groupBy(*by).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_ids")))).alias("_ids"))
+    before = F.filter("_ids", lambda x: x < F.col("_v"))
+    return own.select(*by, "_ids", F.explode("_ids").alias("_v")).select(*by, "_v", F.when(F.size(before) > 0, before).alias("_before"))
+
+
 def citation_edges(refs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """citing -> every publication that matches in any id, itself excluded: distinct (src, dst, raw_ref)."""
-    met = match_by_any(refs.select("pub_id", "pos", "raw", *IDS), nodes.withColumnRenamed("node", "dst"), ["pub_id", "pos", "raw"], "dst")
-    return met.where(F.col("pub_id") != F.col("dst")).select(F.col("pub_id").alias("src"), "dst", F.col("raw").alias("raw_ref")).distinct()
+    """citing -> every publication that matches in any id, itself excluded: distinct (src, dst, raw_ref).
+
+    Equal citations of a publication are put together before the join, and a pair comes from the first id that both
+    have; so pairs, which can be many times the citations, are distinct as they are and need no shuffle.
+    """
+    cited = _any_ids(refs, ["pub_id", "raw"], lambda c: c.isNotNull()).withColumnRenamed("_before", "_cited")
+    known = _any_ids(nodes.withColumnRenamed("node", "dst"), ["dst"], lambda c: ~blank(c))
+    met = cited.join(known.hint("merge"), "_v").where(~F.coalesce(F.arrays_overlap("_cited", "_before"), F.lit(False)))
+    return met.where(F.col("pub_id") != F.col("dst")).select(F.col("pub_id").alias("src"), "dst", F.col("raw").alias("raw_ref"))
 
 
 def cited_by_edges(refs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -102,7 +118,7 @@ def cited_by_edges(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     A titled one is a node by title and keeps the last raw string by position; an untitled one is a node of its own.
     """
     matched = match_by_any(refs.select("pub_id", "pos", *IDS), nodes.withColumnRenamed("node", "_node"), ["pub_id", "pos"], "_node").where("pub_id <> _node").select("pub_id", "pos").distinct()
-    lost = refs.join(matched, ["pub_id", "pos"], "left_anti")
+    lost = refs.join(matched.hint("merge"), ["pub_id", "pos"], "left_anti")
     own = F.concat(F.lit("#"), F.sha2(F.concat_ws("/", "pub_id", F.col("pos").cast("string")), 256))
     lost = lost.withColumn("src", F.when(F.coalesce("title", F.lit("")) != "", F.col("title")).otherwise(own))
     return lost.groupBy("src", F.col("pub_id").alias("dst")).agg(F.max_by("raw", "pos").alias("raw_ref"))

@@ -44,6 +44,18 @@ def test_matching_by_any_id(spark):
     assert sorted((r["pub_id"], r["pos"], r["node"]) for r in met.collect()) == sorted(want)
 
 
+def test_citation_edges_are_distinct_without_a_shuffle_of_pairs(spark):
+    """Equal raw strings with other ids, a node in two rows, blank ids and a citation of itself."""
+    rows, refs = citations(spark)
+    refs = refs.withColumn("raw", F.concat(F.lit("raw "), F.col("pos") % 3))
+    nodes = [("n1", "d1", None, "t9"), ("n2", None, "a1", "t1"), ("n2", "d3", "a2", "t1"), ("n3", "", "", " "), ("p4", "d2", "a1", "t2")]
+    edges = graph.citation_edges(refs, spark.createDataFrame(nodes, "node string, doi string, arxiv_id string, title string"))
+    plan = edges._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "Exchange" not in plan.split("Join")[0] and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    want = {(r["pub_id"], n, f"raw {r['pos'] % 3}") for r in rows for n, *ids in nodes if n != r["pub_id"] and any(v and v == r[c] for v, c in zip(ids, graph.IDS))}
+    assert sorted(tuple(e) for e in edges.collect()) == sorted(want)
+
+
 def test_graph_of_a_batch(spark):
     rows, refs = citations(spark)
     text = "id string, authors array<struct<name:string,affiliation:string>>, title string, doi string, journal string, created string, updated string, msc_class string, acm_class string, pdf_url string, abstract string, categories array<string>"
