@@ -6,6 +6,8 @@ from quillgraph.operators import catalogue as cat
 from quillgraph.operators import resolve
 from quillgraph.plans import standins
 from quillgraph.plans.pipelines import load_catalogue, validators
+from quillgraph.plans.queries_tables import harvested
+from tests.conftest import small_broadcasts
 
 
 def ref(pub, pos, raw, **f):
@@ -84,6 +86,16 @@ def test_brute_force_scores(spark):
         assert got[k]["doi"] == (doi or rows[k]["doi"])
 
 
+def test_no_table_that_grows_is_broadcast(spark):
+    """Spark takes tables for small that need more than 1 kB in the driver; only keys of many records may go there."""
+    sf = "/root/testdata/sf0.001"
+    with small_broadcasts(spark, below="10m", most="1k"):
+        assert harvested(spark, sf).count() == 200
+        refs = standins.references(spark, sf)
+        resolve.candidates(refs, standins.catalogue(spark, sf)).count()
+        resolve.resolve(refs, standins.catalogue(spark, sf)).count()
+
+
 def test_id_validator_clears_authors_once(spark):
     refs, _ = tables(spark, [ref("a", 1, "hep-th/9901001", authors=["X"]), ref("a", 2, "hep-th/9901001", authors=["X"], validated=True), ref("a", 3, "none", authors=["X"])], [])
     out = {r["pos"]: r for r in resolve.validate_ids(refs).collect()}
