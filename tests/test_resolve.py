@@ -1,12 +1,14 @@
+import random
+
 from pyspark.sql import functions as F
 
 from quillgraph import schemas
-from quillgraph.functions.similarity import author_in, subsequence_length
+from quillgraph.functions.similarity import author_in, free_start_distance, may_be_near, subsequence_length
 from quillgraph.operators import catalogue as cat
 from quillgraph.operators import resolve
 from quillgraph.plans import standins
 from quillgraph.plans.pipelines import load_catalogue, validators
-from quillgraph.plans.queries_tables import harvested
+from quillgraph.plans.queries_tables import harvested, hits
 from tests.conftest import small_broadcasts
 
 
@@ -119,6 +121,50 @@ def test_hits(spark):
     assert out["doi"] == "d1" and out["journal"] == "S" and out["urls"] == ["u"] and out["validated"]
 
 
+def test_brute_force_hits(spark):
+    """The hits of a small table, one by one: titles decide where both are there, else the score; most find their part."""
+    sf = "/root/testdata/sf0.001"
+    recs = {r["id"]: r for r in standins.catalogue(spark, sf).collect()}
+    refs = standins.references(spark, sf, "l_partkey").where("pub_id % 4 = 1").collect()
+    got = {(r["pub_id"], r["pos"]): r for r in hits(spark, sf).where("pub_id % 4 = 1").collect()}
+
+    def accepted(r, c, pages):
+        names = all(author_in(a["name"], r["raw"]) for a in c["authors"])
+        if r["title"]:
+            near = free_start_distance(r["title"], c["title"]) / len(r["title"]) < 0.05
+            return near and ((names and str(c["year"]) in r["raw"]) or r["title"] == c["title"])
+        first, last = (c["first_page"], c["last_page"]) if pages else (None, None)
+        if abs(c["year"] - r["year"]) > 1:
+            return False
+        score = 4 - (c["year"] != r["year"]) - (c["volume"] != r["volume"]) - (first is not None and first != r["first_page"])
+        score -= 0 if names else 2
+        share = lambda x: subsequence_length(r["raw"], x) / len(x)
+        more = (last is not None and last == r["last_page"]) + (share(c["journal"]) > 0.8) + 2 * (share(c["title"]) > 0.9) + (("null" if first is None else str(first)) in r["raw"])
+        return score >= 2 and score + more >= 4
+
+    assert len(got) == len(refs)
+    for r in refs:
+        found = next((c for i, step in enumerate((1, 0, 2)) if accepted(r, c := recs[(r["l_partkey"] + step) % len(recs)], i != 2)), None)
+        g = got[r["pub_id"], r["pos"]]
+        assert (g["doi"], g["issn"]) == ((found["doi"], "1") if found else (r["doi"], None))
+    assert sum(g["issn"] == "1" for g in got.values()) > 0.9 * len(got)
+
+
+def test_titles_that_may_be_near(spark):
+    rng, rows = random.Random(1), []
+    for _ in range(3000):
+        a = "".join(rng.choice("abC é") for _ in range(rng.randint(1, 70)))
+        b = list(a[rng.choice([0, 0, 3]) :])
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "É", "c"])
+        rows.append((a, "".join(b).upper() if rng.random() < 0.2 else "".join(b)))
+    out = spark.createDataFrame(rows, "a string, b string").withColumn("may", may_be_near(F.col("a"), F.col("b"), 0.05)).collect()
+    near = [free_start_distance(r["a"], r["b"]) / len(r["a"]) < 0.05 for r in out]
+    assert sum(near) > 300 and all(r["may"] for r, n in zip(out, near) if n)
+    assert not spark.sql("select 'abcdefghijklmnopqrstuvwxyz' as a, 'zyxwvutsrqponmlkjihgfedcba' as b").select(may_be_near(F.col("a"), F.col("b"), 0.05)).first()[0]
+
+
 def test_load_and_chain(spark):
     _, recs = tables(spark, [ref("a", 1, "x")], [rec(0, title="b", doi="1"), rec(0, title="a", doi="2"), rec(0, title=" ")])
     first = load_catalogue(recs)
