@@ -96,6 +96,7 @@ def test_no_table_that_grows_is_broadcast(spark):
         refs = standins.references(spark, sf)
         resolve.candidates(refs, standins.catalogue(spark, sf)).count()
         resolve.resolve(refs, standins.catalogue(spark, sf)).count()
+        assert resolve.resolve_with_shortcut(refs, standins.catalogue(spark, sf)).count() == refs.count()
 
 
 def test_id_validator_clears_authors_once(spark):
